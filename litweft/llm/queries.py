@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from litweft.llm.lookalike import canonical, equal_looking
+from litweft.llm.mixture import mix, shares
 from litweft.llm.pairs import PairTable, baskets, row_baskets
 from litweft.llm.terms import mark_terms, record_key, term_rows
-from litweft.llm.tokens import encode
+from litweft.llm.tokens import count_tokens, encode
 from litweft.llm.topn import top_n
-from litweft.session import table
+from litweft.session import materialise, table
 
 MX_KEY = ["mirna_family", "gene_family", "interaction", "chunk_id"]
 
@@ -62,7 +64,42 @@ def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
     return encode(table(spark, sf, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_pairs": p1_pairs, "p2_found": p2_found, "p6_found": p6_found, "p6_terms": p6_terms, "p7_ids": p7_ids}
+# -- 8: mixture --------------------------------------------------------------------------------------
+def _mixture(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    docs = materialise(count_tokens(table(spark, sf, "documents"), keep=("doc_id", "source", "lang")), "sizes")
+    targets = table(spark, sf, "mix_targets")
+    want = {r["source"]: r for r in targets.limit(100_000).collect()}  # one row per source, a fixed list
+    weights = {(s,): float(r["target_share"]) for s, r in want.items()}
+    repeats = {(s,): int(r["max_repeats"]) for s, r in want.items()}
+    return docs, mix(docs, "n_tokens", ["source", "lang"], weights, repeats), targets
+
+
+def p8_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    """The mixture: one row per use of a document."""
+    return _mixture(spark, sf)[1]
+
+
+def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """The shares that the mixture reaches, by source."""
+    docs, mixture, targets = _mixture(spark, sf)
+    return shares(docs, mixture, "n_tokens", "source", targets, "target_share", "max_repeats")
+
+
+# -- 9: visually identical text ----------------------------------------------------------------------
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of documents whose texts differ but look the same."""
+    return equal_looking(table(spark, sf, "documents"))
+
+
+def p9_canonical(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's text in its consistent form."""
+    return canonical(table(spark, sf, "documents")).select("doc_id", "canon")
+
+
+QUERIES = {
+    "p1_found": p1_found, "p1_pairs": p1_pairs, "p2_found": p2_found, "p6_found": p6_found, "p6_terms": p6_terms, "p7_ids": p7_ids,
+    "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p9_found": p9_found, "p9_canonical": p9_canonical,
+}
 
 _PAIRS = """
 WITH rec AS (
