@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from litweft.llm.lookalike import canonical, equal_looking
 from litweft.llm.mixture import mix, shares
+from litweft.llm.names import link_names, linked_pairs
 from litweft.llm.pairs import PairTable, baskets, row_baskets
 from litweft.llm.terms import mark_terms, record_key, term_rows
 from litweft.llm.tokens import count_tokens, encode
@@ -40,6 +41,21 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     return best.select("mirna_family", "place", "gene_family")
 
 
+# -- 5: variant spellings of names --------------------------------------------------------------------
+def _links(spark: SparkSession, sf: str) -> DataFrame:
+    return link_names(table(spark, sf, "mx_authors"), table(spark, sf, "short_names"))
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    """All pairs of spellings that name the same person or organisation."""
+    return linked_pairs(_links(spark, sf))
+
+
+def p5_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    """Every spelling's cluster, both named by their smallest row id."""
+    return _links(spark, sf).select(F.col("id").alias("row_id"), F.col("cluster").alias("cluster_id"))
+
+
 # -- 6: frequency of every value ---------------------------------------------------------------------
 def _terms(spark: SparkSession, sf: str) -> DataFrame:
     annot, mx = table(spark, sf, "mx_annot"), table(spark, sf, "mx")
@@ -97,7 +113,7 @@ def p9_canonical(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p1_pairs": p1_pairs, "p2_found": p2_found, "p6_found": p6_found, "p6_terms": p6_terms, "p7_ids": p7_ids,
+    "p1_found": p1_found, "p1_pairs": p1_pairs, "p2_found": p2_found, "p5_found": p5_found, "p5_clusters": p5_clusters, "p6_found": p6_found, "p6_terms": p6_terms, "p7_ids": p7_ids,
     "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p9_found": p9_found, "p9_canonical": p9_canonical,
 }
 
