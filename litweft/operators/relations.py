@@ -527,7 +527,7 @@ RELATION_SCHEMA = "accepted boolean, conj boolean, sdp boolean, compartment bool
 def relations(pairs: DataFrame, stems: Sequence[tuple[str, str]], checks: Sequence[str] = ("conj", "sdp", "compartment", "context"), off: Sequence[str] = (), keep: Sequence[str] = ("sent_id",)) -> DataFrame:
     """Pairs (text, tokens, start_a, end_a, start_b, end_b; a the miRNA) with their checks and class.
 
-    ``accepted`` is true if all of ``checks`` hold. Of several tokens in a span the last counts; a span
+    ``stems`` is the ordered lexicon of (class, stem). ``accepted`` is true if all of ``checks`` hold. Of several tokens in a span the last counts; a span
     without a token, or a null parse, gives nulls and is not accepted. The sentence is parsed into a tree
     once per row; rows of one sentence in a batch share it.
     """
@@ -536,7 +536,10 @@ def relations(pairs: DataFrame, stems: Sequence[tuple[str, str]], checks: Sequen
     names = [c.split()[0] for c in RELATION_SCHEMA.split(", ")]
     kinds = [pa.bool_() if c.endswith("boolean") else pa.string() for c in RELATION_SCHEMA.split(", ")]
     head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[: len(keep)])
-    order, use = dict(stems), tuple(checks)
+    order: dict[str, str] = {}
+    for cls, stem in stems:
+        order.setdefault(stem, cls)  # the first class of a stem counts
+    use = tuple(checks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decide = Classifier(order, off)

@@ -31,8 +31,8 @@ def articles(spark: SparkSession, path: str, first_file: int | None = None, last
         raw = raw.where(number >= first_file)
     if last_file is not None:
         raw = raw.where(number <= last_file)
-    start = F.instr("value", F.lit("<PubmedArticle"))
-    return raw.where(start > 0).select("file", F.concat(F.substring("value", start, F.length("value")), F.lit("</PubmedArticle>")).alias("xml"))
+    body = F.regexp_extract("value", "(?s)(<PubmedArticle[ >].*)", 1)
+    return raw.select("file", body.alias("xml")).where("xml <> ''").withColumn("xml", F.concat("xml", F.lit("</PubmedArticle>")))
 
 
 def plain(xml: Column) -> Column:

@@ -130,7 +130,7 @@ def synonym_file(spark: SparkSession, path: str, dict_id: int = 0, encoding: str
     their first line. The file is one dictionary and is read by one task, so that lines can be numbered."""
     from litweft.functions.synonyms import from_line
 
-    lines = spark.read.option("encoding", encoding).option("wholetext", True).text(path).select(F.posexplode(F.split("value", "\r?\n")).alias("syn_idx", "line")).where("line <> ''")
+    lines = spark.read.option("encoding", encoding).text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("syn_idx", "line")).where("line <> ''")
     parsed = lines.select("syn_idx", from_line(F.col("line")).alias("s")).select("syn_idx", "s.*")
     first = parsed.groupBy("syn_id").agg(F.min_by(F.struct("syn_idx", "syns"), "syn_idx").alias("r")).select("syn_id", "r.*")
     return first.select(F.lit(dict_id).alias("dict_id"), "syn_idx", "syn_id", F.explode("syns").alias("syn"))
