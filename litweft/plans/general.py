@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from litweft.operators.skew import heavy_keys, per_key_summary
 from litweft.operators.unpack import IDS, NAMES, SPANS, unpack
-from litweft.session import table
+from litweft.session import spread, table
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -27,7 +27,7 @@ def p3_per_family(spark: SparkSession, sf: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     """One row per value packed in organisms, evidence_documents and sent_evidences of every row of mx."""
-    return unpack(table(spark, sf, "mx"), {"organisms": NAMES, "evidence_documents": IDS, "sent_evidences": SPANS}, keep=["row_id"])
+    return unpack(spread(table(spark, sf, "mx")), {"organisms": NAMES, "evidence_documents": IDS, "sent_evidences": SPANS}, keep=["row_id"])
 
 
 QUERIES = {"p3_found": p3_found, "p3_per_family": p3_per_family, "p4_found": p4_found}

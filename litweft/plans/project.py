@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litweft.session import table
+from litweft.session import spread, table
 
 
 def evidence(spark: SparkSession, sf: str) -> DataFrame:
@@ -50,7 +50,7 @@ ONTOLOGY_SQL = "edge AS (SELECT p_partkey AS child, p_partkey // 2 AS parent FRO
 
 def sentences(spark: SparkSession, sf: str) -> DataFrame:
     """Sentences (doc_id, sen_id, sent_id, text): the non-empty parts of every text between '. '."""
-    d = table(spark, sf, "documents").where("text is not null")
+    d = spread(table(spark, sf, "documents").select("doc_id", "text")).where("text is not null")
     parts = d.select("doc_id", F.posexplode(F.split("text", "\\. ")).alias("sen_id", "text")).where("length(text) > 0")
     return parts.select("doc_id", F.col("sen_id").cast("long").alias("sen_id"), F.concat_ws(".", "doc_id", F.lit("2"), "sen_id").alias("sent_id"), "text")
 

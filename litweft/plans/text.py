@@ -10,7 +10,7 @@ from litweft.functions import text as tx
 from litweft.operators import cooccur, matcher, relations
 from litweft.plans.project import SENTENCES_SQL
 from litweft.plans.project import sentences as sents
-from litweft.session import table
+from litweft.session import materialise, table
 
 # A small lexicon of words of the corpus; dictionary 1 are processes, 2 are things, 3 is short.
 LEXICON = [
@@ -78,13 +78,13 @@ def common_word_removal(spark: SparkSession, sf: str) -> DataFrame:
 
 def cooccurrence(spark: SparkSession, sf: str) -> DataFrame:
     s = sents(spark, sf)
-    h = cooccur.dense_sentences_out(_hits(spark, sf, only_longest=False).where("exact"), 4)
+    h = cooccur.dense_sentences_out(materialise(_hits(spark, sf, only_longest=False).where("exact"), "hits"), 4)
     p = cooccur.pairs(h.where("dict_id = 1"), h.where("dict_id = 2"), s, 300)
     return p.select("sent_id", "syn_a", "syn_b", "start_a", "start_b")
 
 
 def tagged_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    h = _hits(spark, sf, only_longest=False).where("exact")
+    h = materialise(_hits(spark, sf, only_longest=False).where("exact"), "hits")
     p = cooccur.distinct_pairs(cooccur.pairs(h.where("syn = 'expression'"), h.where("syn = 'cells'"), sents(spark, sf)))
     return p.select("sent_id", tx.tag_pair(F.col("text"), F.col("start_a"), F.col("end_a"), F.col("start_b"), F.col("end_b")).alias("tagged"))
 

@@ -33,6 +33,17 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def spread(df: DataFrame, mb_per_task: int = 1) -> DataFrame:
+    """A small scan dealt out to all cores before work that is heavy per row.
+
+    A table of a few MB is one partition, whatever its rows cost; inputs with at least ``mb_per_task`` per
+    core are left as the scan splits them, so large tables are never shuffled here.
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return df.repartition(n) if size < n * mb_per_task * 1_000_000 else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share, as named by the cluster in ``spark.checkpoint.dir``.
 
