@@ -12,7 +12,7 @@ from litweft.llm.pairs import PairTable, baskets, row_baskets
 from litweft.llm.terms import mark_terms, record_key, term_rows
 from litweft.llm.tokens import count_tokens, encode
 from litweft.llm.topn import top_n
-from litweft.session import materialise, table
+from litweft.session import materialise, spread, table
 
 MX_KEY = ["mirna_family", "gene_family", "interaction", "chunk_id"]
 
@@ -77,12 +77,12 @@ def p6_terms(spark: SparkSession, sf: str) -> DataFrame:
 # -- 7: encoding -------------------------------------------------------------------------------------
 def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of every document by byte_bpe_50k."""
-    return encode(table(spark, sf, "documents"))
+    return encode(spread(table(spark, sf, "documents").select("doc_id", "text")))
 
 
 # -- 8: mixture --------------------------------------------------------------------------------------
 def _mixture(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    docs = materialise(count_tokens(table(spark, sf, "documents"), keep=("doc_id", "source", "lang")), "sizes")
+    docs = materialise(count_tokens(spread(table(spark, sf, "documents").select("doc_id", "source", "lang", "text")), keep=("doc_id", "source", "lang")), "sizes")
     targets = table(spark, sf, "mix_targets")
     want = {r["source"]: r for r in targets.limit(100_000).collect()}  # one row per source, a fixed list
     weights = {(s,): float(r["target_share"]) for s, r in want.items()}
@@ -104,12 +104,12 @@ def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
 # -- 9: visually identical text ----------------------------------------------------------------------
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs of documents whose texts differ but look the same."""
-    return equal_looking(table(spark, sf, "documents"))
+    return equal_looking(spread(table(spark, sf, "documents").select("doc_id", "text")))
 
 
 def p9_canonical(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's text in its consistent form."""
-    return canonical(table(spark, sf, "documents")).select("doc_id", "canon")
+    return canonical(spread(table(spark, sf, "documents").select("doc_id", "text"))).select("doc_id", "canon")
 
 
 QUERIES = {
