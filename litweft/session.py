@@ -40,7 +40,7 @@ def spread(df: DataFrame, mb_per_task: int = 1) -> DataFrame:
     core are left as the scan splits them, so large tables are never shuffled here.
     """
     n = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(n) if size < n * mb_per_task * 1_000_000 else df
 
 
