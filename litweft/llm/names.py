@@ -222,7 +222,7 @@ def _decisive(df: DataFrame, group: str, choice: str, weight: str, factor: float
     return top.where(F.col("_m") >= factor * (F.col("_s") - F.col("_m"))).select(group, choice)
 
 
-def link_names(names: DataFrame, short_names: DataFrame, row_id: str = "row_id", first: str = "firstname", last: str = "lastname", threshold: float = 0.5) -> DataFrame:
+def link_names(names: DataFrame, short_names: DataFrame, row_id: str = "row_id", first: str = "firstname", last: str = "lastname", threshold: float = 0.4) -> DataFrame:
     """``(id, cluster)`` of every spelling; both are smallest row ids (of the spelling, of the cluster).
 
     A spelling is a distinct (first, last), null and '' told apart; a spelling without a letter is
@@ -236,7 +236,8 @@ def link_names(names: DataFrame, short_names: DataFrame, row_id: str = "row_id",
     4. a form whose last name is one edit from that of a better attested compatible form also answers
        to that name; forms that share a name and a first letter are scored: given names must agree, as
        words, familiar forms, misspellings or initials, and so must further initials;
-    5. average linkage at ``threshold``, where forms that contradict each other count as 0;
+    5. average linkage at ``threshold``; forms without a link count as 0, forms whose further initials
+       contradict each other as -1;
     6. initials and last names alone that fit several persons join the one that clearly prevails in the
        rows, else none.
 
@@ -272,7 +273,7 @@ def link_names(names: DataFrame, short_names: DataFrame, row_id: str = "row_id",
     initial = lambda x, y: said(f"name_{x}").isNull() & said(f"name_{y}").isNotNull() & F.substring(f"ini_{x}", 1, 1).isin(F.substring(f"name_{y}", 1, 1), F.substring(f"said_{y}", 1, 1))
     given = (
         F.when(said("kind_a") == "o", F.when(said("types_a") == said("types_b"), 1.0))
-        .when((F.length("ini_a") > 1) & (F.length("ini_b") > 1) & (F.substring("ini_a", 2, 1) != F.substring("ini_b", 2, 1)), None)
+        .when((F.length("ini_a") > 1) & (F.length("ini_b") > 1) & (F.substring("ini_a", 2, 1) != F.substring("ini_b", 2, 1)), -1.0)
         .when(said("name_a") == said("name_b"), 1.0)
         .when(said("name_a").isNull() & said("name_b").isNull(), F.when(F.substring("ini_a", 1, 1) == F.substring("ini_b", 1, 1), 0.95))
         .when(initial("a", "b") | initial("b", "a"), 0.9)
@@ -281,7 +282,7 @@ def link_names(names: DataFrame, short_names: DataFrame, row_id: str = "row_id",
 
     # 4: better attested names within one edit, among compatible forms
     a = side(block, "a").join(close, "key_a")
-    fit = materialise(a.join(side(block, "b"), ["key_b", "i1"]).where("kind_a = kind_b").where(given.isNotNull()), "fit")
+    fit = materialise(a.join(side(block, "b"), ["key_b", "i1"]).where("kind_a = kind_b").where(given > 0), "fit")
     support = block.groupBy("kind", "key", "i1").agg(F.sum("rows").alias("support"))
     own = fit.join(support.select(F.col("kind").alias("kind_a"), F.col("key").alias("key_a"), "i1", F.col("support").alias("_own")), ["kind_a", "key_a", "i1"])
     best = own.groupBy("f_a", "key_a", "key_b").agg(F.sum("rows_b").alias("_fit"), F.max("_own").alias("_own"))
@@ -293,11 +294,11 @@ def link_names(names: DataFrame, short_names: DataFrame, row_id: str = "row_id",
     exactness = F.when(said("key_a") == said("key_b"), 1.0).when((said("key_a") == said("k")) | (said("key_b") == said("k")), 0.9).otherwise(0.8)
     pair = pair.withColumn("sim", given * exactness).where("sim is not null")
     pair = pair.drop("k").unionByName(fit.where("f_a < f_b").withColumn("sim", given * 0.8))
-    pair = pair.groupBy("f_a", "f_b").agg(F.max("sim").alias("sim"), *(F.first(c).alias(c) for c in ("name_a", "name_b", "rows_a", "rows_b", "kind_a")))
+    pair = pair.groupBy("f_a", "f_b").agg(F.when(F.min("sim") < 0, F.min("sim")).otherwise(F.max("sim")).alias("sim"), *(F.first(c).alias(c) for c in ("name_a", "name_b", "rows_a", "rows_b", "kind_a")))
     pair = materialise(pair, "pairs")
 
     # 6a: initials that fit several persons
-    half = lambda x, y: pair.where(f"name_{x} is null and name_{y} is not null and kind_a = 'p'").select(F.col(f"f_{x}").alias("f"), F.col(f"name_{y}").alias("to"), F.col(f"rows_{y}").alias("w"))
+    half = lambda x, y: pair.where("sim > 0").where(f"name_{x} is null and name_{y} is not null and kind_a = 'p'").select(F.col(f"f_{x}").alias("f"), F.col(f"name_{y}").alias("to"), F.col(f"rows_{y}").alias("w"))
     asked = half("a", "b").unionByName(half("b", "a"))
     choice = materialise(_decisive(asked, "f", "to", "w"), "choice")
     for x, y in (("a", "b"), ("b", "a")):

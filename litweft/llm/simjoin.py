@@ -20,9 +20,10 @@ def grams(key: Column, n: int) -> Column:
 def similar_keys(keys: DataFrame, n: int = 3, threshold: float = 0.33, exact: Column | None = None) -> DataFrame:
     """``(key_a, key_b, cosine)``, key_a < key_b: distinct keys whose n-gram vectors reach ``threshold``.
 
-    ``keys`` has a column ``key`` of distinct non-null strings. A gram weighs -ln(share of all
-    keys that have it + 0.001), at least 0.1, so weights mean the same at every size; vectors have length 1. ``exact`` is an optional further
-    condition on key_a and key_b, evaluated inside the join. No cap on partners.
+    ``keys`` has a column ``key`` of distinct non-null strings. A gram weighs -ln(share of
+    the keys that have it + 0.001), at least 0.1 (the share is taken of 1000 keys where there are fewer),
+    so weights mean the same at every size; vectors have length 1. ``exact`` is an optional further
+    condition on key_a and key_b, evaluated inside the join. There is no cap on partners.
 
     Prefix filter, without loss: grams are ordered from rare to common, and only those are indexed
     whose removal would leave less than the threshold's length; two keys that reach the threshold share
@@ -32,7 +33,7 @@ def similar_keys(keys: DataFrame, n: int = 3, threshold: float = 0.33, exact: Co
     total = keys.agg(F.count("*").alias("_all"))  # one row
     posted = keys.select("key", F.explode(grams(F.col("key"), n)).alias("gram"))
     df = posted.groupBy("gram").agg(F.count("*").alias("df"))
-    weight = F.greatest(-F.log(F.col("df") / F.col("_all") + 0.001), F.lit(0.1))
+    weight = F.greatest(-F.log(F.col("df") / F.greatest(F.col("_all"), F.lit(1000)) + 0.001), F.lit(0.1))
     weighed = posted.join(df.crossJoin(F.broadcast(total)).select("gram", "df", weight.alias("w")), "gram")
     vec = weighed.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("df", "gram", "w"))).alias("v"))
     vec = vec.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x["w"] * x["w"])))

@@ -20,10 +20,10 @@ def test_similar_keys_equal_brute_force(spark):
     keys = sorted({"".join(r.choice(["fla", "gri", "mo", "stu", "ka"]) for _ in range(r.randint(1, 4))) for _ in range(150)})
     grams = {k: {f"^{k}$"[i : i + 3] for i in range(max(len(k), 1))} for k in keys}
     df = Counter(g for s in grams.values() for g in s)
-    w = {g: max(-math.log(n / len(keys) + 0.001), 0.1) for g, n in df.items()}
+    w = {g: max(-math.log(n / 1000 + 0.001), 0.1) for g, n in df.items()}
     norm = {k: math.sqrt(sum(w[g] ** 2 for g in s)) for k, s in grams.items()}
-    want = {(a, b) for a, b in combinations(keys, 2) if sum(w[g] ** 2 for g in grams[a] & grams[b]) / norm[a] / norm[b] >= 0.5}
-    got = simjoin.similar_keys(spark.createDataFrame([(k,) for k in keys], "key string"), n=3, threshold=0.5)
+    want = {(a, b) for a, b in combinations(keys, 2) if sum(w[g] ** 2 for g in grams[a] & grams[b]) / norm[a] / norm[b] >= 0.6}
+    got = simjoin.similar_keys(spark.createDataFrame([(k,) for k in keys], "key string"), n=3, threshold=0.6)
     assert {(r_.key_a, r_.key_b) for r_ in got.collect()} == want
 
 
@@ -109,6 +109,16 @@ def test_ambiguous_initial_joins_nobody(spark):
     assert all(len(g) == 1 for g in got)
 
 
+def test_contradicting_initials_stay_apart(spark):
+    got = link(spark, [("Robert H.", "Brolimu")] * 2 + [("Robert K.", "Brolimu"), ("R. H.", "Brolimu"), ("R.K.", "Brolimu")])
+    assert sorted(map(sorted, got)) == [[("R. H.", "Brolimu"), ("Robert H.", "Brolimu")], [("R.K.", "Brolimu"), ("Robert K.", "Brolimu")]]
+
+
+def test_chain_of_misspellings(spark):
+    chain = [("Farida", "Guschotapri"), ("Farida", "Guschotypri"), ("Farida", "Guschoapri")]
+    assert link(spark, chain) == [frozenset(chain)]
+
+
 def test_nobody_and_empty(spark):
     assert link(spark, [("", ""), (None, None), ("", None)]) == []
     empty = spark.createDataFrame([], "row_id long, firstname string, lastname string")
