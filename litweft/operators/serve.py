@@ -130,6 +130,19 @@ def relation(mx: DataFrame, mirna: str | None = None, gene: str | None = None, i
     return mx.orderBy(F.desc_nulls_last("evidence_count"), "mirna_family", "gene_family", "interaction", "row_id")
 
 
+def details(relations: DataFrame, sentences: DataFrame, annots: DataFrame) -> DataFrame:
+    """``(mirna_family, gene_family, interaction, doc_id, sent_id, text, concepts)`` of relations (keys, doc_id,
+    sent_id): the sentence of every evidence and the sorted concepts annotated in its document."""
+    per = annots.where("concept <> ''").groupBy("doc_id").agg(F.array_sort(F.collect_set("concept")).alias("concepts"))
+    out = relations.join(sentences.select("sent_id", "text"), "sent_id").join(per, "doc_id", "left")
+    return out.select(*INTERACTION, "doc_id", "sent_id", "text", F.coalesce("concepts", F.array().cast("array<string>")).alias("concepts"))
+
+
+def source_link(doc: Column) -> Column:
+    """struct(source, id) of a document for the row view."""
+    return F.struct(F.when(doc.startswith("PMC"), "PMC").otherwise("PUBMED").alias("source"), doc.alias("id"))
+
+
 def lookup(df: DataFrame, docs: DataFrame, vocabularies: Sequence[str] | None = None) -> DataFrame:
     """Rows of a side table for a set of documents; annotations of some vocabularies only."""
     if vocabularies is not None:
