@@ -52,12 +52,12 @@ def span_overlap_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ontology_descendants(spark: SparkSession, sf: str) -> DataFrame:
-    seeds = table(spark, sf, "part").where("p_partkey between 2 and 9").select(F.col("p_partkey").alias("node"))
+    seeds = table(spark, sf, "part").where("p_partkey > 0").select(F.col("p_partkey").alias("node"))
     return ontology.closure(seeds, tree(spark, sf), max_depth=4)
 
 
 def ontology_descendants_sql(spark: SparkSession, sf: str) -> DataFrame:
-    seeds = table(spark, sf, "part").where("p_partkey between 2 and 9").select(F.col("p_partkey").alias("node"))
+    seeds = table(spark, sf, "part").where("p_partkey > 0").select(F.col("p_partkey").alias("node"))
     return ontology.closure_sql(spark, seeds, tree(spark, sf), 3)
 
 
@@ -67,7 +67,7 @@ def ontology_ancestors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ontology_at_level(spark: SparkSession, sf: str) -> DataFrame:
-    seeds = table(spark, sf, "part").where("p_partkey in (3, 90, 91)").select(F.col("p_partkey").alias("node"))
+    seeds = table(spark, sf, "part").where("p_partkey > 0").select(F.col("p_partkey").alias("node"))
     return ontology.at_level(seeds, tree(spark, sf), 3)
 
 
@@ -85,15 +85,15 @@ def redundant_term_suppression(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def id_mapping_chain(spark: SparkSession, sf: str) -> DataFrame:
-    part = table(spark, sf, "part").where("p_size = 1")
+    part = table(spark, sf, "part")
     m = mapping.chain(part.select("p_partkey"), (table(spark, sf, "lineitem"), "l_partkey", "l_suppkey"), (table(spark, sf, "supplier"), "s_suppkey", "s_nationkey"), (table(spark, sf, "nation"), "n_nationkey", "n_name"))
     return m.select("id", F.array_join("targets", ",").alias("targets"))
 
 
 def family_targets(spark: SparkSession, sf: str) -> DataFrame:
     part = table(spark, sf, "part")
-    sites = part.where("p_size < 5").select("p_partkey", F.concat_ws(":", "p_name", "p_brand").alias("gene_mir"))
-    fam = part.where("p_size = 50").select(F.col("p_brand").alias("family"), F.col("p_type").alias("mirna"))
+    sites = part.select("p_partkey", F.concat_ws(":", "p_name", "p_brand").alias("gene_mir"))
+    fam = part.select(F.col("p_brand").alias("family"), F.col("p_type").alias("mirna"))
     return mapping.expand_targets(sites, fam).select("p_partkey", "gene", "family", "mirna")
 
 
@@ -162,12 +162,12 @@ u AS (SELECT grp AS gene_id, CASE WHEN grp % 2 = 0 THEN '+' ELSE '-' END AS stra
 SELECT gene_id, strand, row_number() OVER (PARTITION BY gene_id ORDER BY CASE WHEN strand = '-' THEN -start ELSE start END) - 1 AS pos, start, "end" FROM u""",
     "span_overlap_join": f"""WITH {SPANS_SQL} SELECT a.grp, a.ord AS ord_a, b.ord AS ord_b FROM sp a JOIN sp b ON a.grp = b.grp AND a.start < b."end" AND b.start < a."end"
 WHERE a.label = 'click' AND b.label = 'error' AND a.start < a."end" AND b.start < b."end" """,
-    "ontology_descendants": _down("p_partkey BETWEEN 2 AND 9", 4) + "SELECT seed, node, CAST(min(level) AS BIGINT) AS level FROM c WHERE level > 0 GROUP BY 1, 2",
-    "ontology_descendants_sql": _down("p_partkey BETWEEN 2 AND 9", 3) + "SELECT seed, node, CAST(min(level) AS BIGINT) AS level FROM c WHERE level > 0 GROUP BY 1, 2",
+    "ontology_descendants": _down("p_partkey > 0", 4) + "SELECT seed, node, CAST(min(level) AS BIGINT) AS level FROM c WHERE level > 0 GROUP BY 1, 2",
+    "ontology_descendants_sql": _down("p_partkey > 0", 3) + "SELECT seed, node, CAST(min(level) AS BIGINT) AS level FROM c WHERE level > 0 GROUP BY 1, 2",
     "ontology_ancestors": f"""WITH RECURSIVE {ONTOLOGY_SQL},
 c AS (SELECT p_partkey AS seed, p_partkey AS node, 0 AS level FROM part WHERE p_partkey > 1 UNION ALL SELECT c.seed, e.parent, c.level + 1 FROM c JOIN edge e ON e.child = c.node WHERE c.level < 2)
 SELECT seed, node, CAST(level AS BIGINT) AS level FROM c WHERE level > 0""",
-    "ontology_at_level": _down("p_partkey IN (3, 90, 91)", 3) + "SELECT seed, node FROM c WHERE level = 3 OR (level BETWEEN 1 AND 2 AND node NOT IN (SELECT parent FROM edge))",
+    "ontology_at_level": _down("p_partkey > 0", 3) + "SELECT seed, node FROM c WHERE level = 3 OR (level BETWEEN 1 AND 2 AND node NOT IN (SELECT parent FROM edge))",
     "ontology_roots": f"""WITH RECURSIVE {ONTOLOGY_SQL}, r AS (SELECT DISTINCT parent AS node FROM edge WHERE parent NOT IN (SELECT child FROM edge)),
 c AS (SELECT node, node AS root FROM r UNION ALL SELECT e.child, c.root FROM c JOIN edge e ON e.parent = c.node) SELECT node, root FROM c""",
     "ontology_parents": f"WITH {ONTOLOGY_SQL} SELECT child, CAST(parent AS VARCHAR) AS parents FROM edge",
@@ -176,8 +176,8 @@ up AS (SELECT child AS node, parent AS anc FROM edge UNION SELECT a.child, b.par
 bad AS (SELECT t.doc_id, t.node FROM t JOIN up USING (node) JOIN t h ON h.doc_id = t.doc_id AND h.node = up.anc)
 SELECT l_orderkey AS doc_id, l_partkey AS node FROM lineitem WHERE (l_orderkey, l_partkey) NOT IN (SELECT (doc_id, node) FROM bad)""",
     "id_mapping_chain": """SELECT p_partkey AS id, string_agg(DISTINCT n_name, ',' ORDER BY n_name) AS targets FROM part JOIN lineitem ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
-JOIN nation ON s_nationkey = n_nationkey WHERE p_size = 1 GROUP BY 1""",
-    "family_targets": """SELECT p_partkey, p_name AS gene, p_brand AS family, mirna FROM part JOIN (SELECT DISTINCT p_brand AS f, p_type AS mirna FROM part WHERE p_size = 50) ON f = p_brand WHERE p_size < 5""",
+JOIN nation ON s_nationkey = n_nationkey GROUP BY 1""",
+    "family_targets": """SELECT p_partkey, p_name AS gene, p_brand AS family, mirna FROM part JOIN (SELECT DISTINCT p_brand AS f, p_type AS mirna FROM part) ON f = p_brand""",
     "confusion_metrics": f"""WITH c AS (SELECT source, count(*) FILTER (t AND p) AS tp, count(*) FILTER (NOT t AND p) AS fp, count(*) FILTER (t AND NOT p) AS fn, count(*) FILTER (NOT t AND NOT p) AS tn
  FROM (SELECT source, coalesce(lang = 'en', false) AS t, coalesce(n_chars > 500, false) AS p FROM documents) GROUP BY 1)
 SELECT *, {_RATES}, round(tn / nullif(tn + fp, 0), 6) AS specificity, round(2 * tp / nullif(2 * tp + fp + fn, 0), 6) AS f1 FROM c""",

@@ -15,14 +15,16 @@ from litweft.session import table
 def interaction_details(spark: SparkSession, sf: str) -> DataFrame:
     """Evidence by document with its text and the concepts of the document."""
     rel = table(spark, sf, "documents").select(F.col("source").alias("mirna_family"), F.col("lang").alias("gene_family"), F.col("journal").alias("interaction"), F.col("article_id").alias("doc_id"), F.col("doc_id").cast("string").alias("sent_id"))
-    text = table(spark, sf, "documents").where("text <> ''").select(F.col("doc_id").cast("string").alias("sent_id"), F.substring("text", 1, 40).alias("text"))
+    text = table(spark, sf, "documents").where("text <> ''").select(F.col("doc_id").cast("string").alias("sent_id"), "text")
     d = serve.details(rel, text, table(spark, sf, "mx_annot"))
     return d.select("doc_id", "sent_id", "text", F.array_join("concepts", "#").alias("concepts"))
 
 
 def natural_order(spark: SparkSession, sf: str) -> DataFrame:
+    """The keys of the natural order of document ids: prefix, then number."""
     docs = table(spark, sf, "mx_dates").where("doc_id <> ''").select("doc_id").distinct()
-    return docs.orderBy(*[c.desc() for c in serve.natural_key(F.col("doc_id"))]).limit(40).select("doc_id")
+    prefix, number, _ = serve.natural_key(F.col("doc_id"))
+    return docs.select("doc_id", prefix.alias("prefix"), number.cast("long").alias("number"))
 
 
 def chunk_sizes(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,8 +51,8 @@ def symbol_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 def symbol_enrichment(spark: SparkSession, sf: str) -> DataFrame:
     part = table(spark, sf, "part")
-    marks = part.where("p_size < 8").select(F.col("p_partkey").alias("marker_id"), F.col("p_name").alias("symbol"), F.concat_ws("|", "p_brand", "p_type").alias("uniprot_ids"))
-    prot = part.where("p_size = 8").select(F.col("p_brand").alias("protein"), F.col("p_type").alias("symbol"))
+    marks = part.select(F.col("p_partkey").alias("marker_id"), F.col("p_name").alias("symbol"), F.concat_ws("|", "p_brand", "p_type").alias("uniprot_ids"))
+    prot = part.select(F.col("p_brand").alias("protein"), F.col("p_type").alias("symbol"))
     return mapping.enrich_symbols(marks, prot)
 
 
@@ -73,7 +75,7 @@ def merged_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ancestors_by_level(spark: SparkSession, sf: str) -> DataFrame:
-    seeds = table(spark, sf, "part").where("p_partkey between 100 and 199").select(F.col("p_partkey").alias("node"))
+    seeds = table(spark, sf, "part").where("p_partkey > 1").select(F.col("p_partkey").alias("node"))
     lv = ontology.by_level(ontology.closure(seeds, tree(spark, sf), max_depth=3, up=True))
     return lv.select("seed", "level", F.array_join(F.transform("nodes", lambda x: x.cast("string")), ",").alias("nodes"))
 
@@ -90,7 +92,7 @@ def entity_spans(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def site_tracks(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem").where("l_partkey < 200")
+    li = table(spark, sf, "lineitem")
     s = li.select(F.col("l_partkey").cast("string").alias("gene"), F.col("l_returnflag").alias("mirna"), F.col("l_orderkey").alias("start"), (F.col("l_orderkey") + F.col("l_linenumber")).alias("end"), F.col("l_linenumber").alias("score"))
     t = genome.site_tracks(s)
     return t.select("gene", "mirna", F.array_join(F.transform("sites", lambda x: F.concat_ws("-", x["start"], x["end"])), ",").alias("sites"))
@@ -102,7 +104,7 @@ def dna_complement(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def text_around(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents").where("length(text) > 60").select("doc_id", F.substring("text", 1, 60).alias("text"))
+    d = table(spark, sf, "documents").where("text is not null").select("doc_id", "text")
     a = (F.col("doc_id") % 20).cast("int")
     b = (F.col("doc_id") % 31).cast("int")
     return d.select("doc_id", tx.around(F.col("text"), a, a + 5, b, b + 4).alias("x")).select("doc_id", "x.before", "x.between", "x.after", "x.order")
@@ -144,10 +146,9 @@ QUERIES = {
 
 ORACLE = {
     "interaction_details": """
-SELECT article_id AS doc_id, CAST(d.doc_id AS VARCHAR) AS sent_id, substr(text, 1, 40) AS text,
+SELECT article_id AS doc_id, CAST(d.doc_id AS VARCHAR) AS sent_id, text,
   coalesce((SELECT string_agg(DISTINCT concept, '#' ORDER BY concept) FROM mx_annot a WHERE a.doc_id = article_id AND concept <> ''), '') AS concepts FROM documents d WHERE text <> ''""",
-    "natural_order": """
-SELECT doc_id FROM (SELECT DISTINCT doc_id FROM mx_dates WHERE doc_id <> '') ORDER BY regexp_extract(doc_id, '^[^0-9]*') DESC, CAST(regexp_extract(doc_id, '[0-9]+') AS BIGINT) DESC, doc_id DESC LIMIT 40""",
+    "natural_order": "SELECT DISTINCT doc_id, regexp_extract(doc_id, '^[^0-9]*') AS prefix, CAST(regexp_extract(doc_id, '[0-9]+') AS BIGINT) AS number FROM mx_dates WHERE doc_id <> ''",
     "chunk_sizes": "SELECT chunk, count(*) AS n FROM (SELECT (dense_rank() OVER (ORDER BY doc_id) - 1) // 40 AS chunk FROM mx_annot WHERE doc_id IS NOT NULL) GROUP BY 1",
     "document_sources": "SELECT row_id, CASE WHEN doc_id LIKE 'PMC%' THEN 'PMC' ELSE 'PUBMED' END AS source FROM mx_dates",
     "subtree_exclusion": f"""
@@ -156,22 +157,22 @@ SELECT CAST(p_partkey AS VARCHAR) AS term_id, least(p_name, p_type) || CASE WHEN
 FROM part WHERE p_size <> 13 AND p_partkey <> 9 AND p_partkey NOT IN (SELECT node FROM bad)""",
     "symbol_merge": "SELECT p_brand AS term_id, string_agg(DISTINCT s, '|' ORDER BY s) AS syns FROM (SELECT p_brand, p_type AS s FROM part UNION ALL SELECT p_brand, p_name FROM part) GROUP BY 1",
     "symbol_enrichment": """
-WITH m AS (SELECT p_partkey AS marker_id, p_name, p_brand, p_type FROM part WHERE p_size < 8), u AS (SELECT p_brand AS protein, p_type AS symbol FROM part WHERE p_size = 8)
+WITH m AS (SELECT p_partkey AS marker_id, p_name, p_brand, p_type FROM part), u AS (SELECT p_brand AS protein, p_type AS symbol FROM part)
 SELECT marker_id, p_name AS symbol FROM m UNION SELECT marker_id, symbol FROM m JOIN u ON protein IN (p_brand, p_type)""",
     "alias_names": """
 SELECT n_nationkey AS accession, n_name AS name, alias FROM nation LEFT JOIN (SELECT r_regionkey, r_name AS alias FROM region UNION ALL SELECT r_regionkey, lower(r_name) FROM region) ON r_regionkey = n_nationkey""",
     "term_names": "SELECT row_id, name AS term_name FROM mx_annot LEFT JOIN (SELECT concept_id, min(concept) AS name FROM mx_annot WHERE concept <> '' GROUP BY 1) USING (concept_id) WHERE concept_id IS NOT NULL",
     "merged_terms": "SELECT CAST(c_nationkey AS VARCHAR) AS term_id, min(c_name) AS name, string_agg(DISTINCT c_mktsegment, '|' ORDER BY c_mktsegment) AS synonyms, 0 AS n FROM customer GROUP BY 1",
-    "ancestors_by_level": "SELECT p_partkey AS seed, l AS level, CAST(p_partkey // (2 ** l)::BIGINT AS VARCHAR) AS nodes FROM part, (SELECT unnest([1, 2, 3]) AS l) WHERE p_partkey BETWEEN 100 AND 199",
+    "ancestors_by_level": "SELECT p_partkey AS seed, l AS level, CAST(p_partkey // (2 ** l)::BIGINT AS VARCHAR) AS nodes FROM part, (SELECT unnest([1, 2, 3]) AS l) WHERE p_partkey > 1 AND p_partkey // (2 ** l)::BIGINT >= 1",
     "excluded_annotations": """
 WITH a AS (SELECT row_id, doc_id, CASE WHEN row_id % 7 = 0 THEN concept_id || '_excl' ELSE concept_id END AS c FROM mx_annot WHERE doc_id IS NOT NULL AND concept_id IS NOT NULL)
 SELECT row_id, doc_id, c AS concept_id FROM a WHERE row_id % 7 <> 0 AND NOT EXISTS (SELECT 1 FROM a b WHERE b.doc_id = a.doc_id AND b.c = a.c || '_excl')""",
     "entity_spans": f"""WITH {EVIDENCE_SQL} SELECT CASE WHEN direction = 'A' THEN 'GENE_MIR' ELSE 'MIR_GENE' END AS direction, CAST(sum(CASE WHEN direction = 'A' THEN length(gene_family) ELSE length(mirna_family) END) AS BIGINT) AS mir,
   CAST(sum(CASE WHEN direction = 'A' THEN length(mirna_family) ELSE length(gene_family) END) AS BIGINT) AS gene FROM ev GROUP BY 1""",
     "site_tracks": """SELECT CAST(l_partkey AS VARCHAR) AS gene, l_returnflag AS mirna, string_agg(l_orderkey || '-' || (l_orderkey + l_linenumber), ',' ORDER BY l_orderkey, l_linenumber) AS sites
-FROM lineitem WHERE l_partkey < 200 GROUP BY 1, 2""",
+FROM lineitem GROUP BY 1, 2""",
     "dna_complement": "SELECT p_partkey, reverse(translate(translate(p_name, 'abcdefghijklmnopqrstuvwxyz ', 'ACGTACGTACGTACGTACGTACGTACG'), 'ACGT', 'TGCA')) AS rc FROM part",
-    "text_around": """WITH x AS (SELECT doc_id, substr(text, 1, 60) AS t, CAST(doc_id % 20 AS INT) AS a, CAST(doc_id % 31 AS INT) AS b FROM documents WHERE length(text) > 60)
+    "text_around": """WITH x AS (SELECT doc_id, text AS t, CAST(doc_id % 20 AS INT) AS a, CAST(doc_id % 31 AS INT) AS b FROM documents WHERE text IS NOT NULL)
 SELECT doc_id, substr(t, 1, least(a, b)) AS "before", substr(t, least(a + 5, b + 4) + 1, greatest(greatest(a, b) - least(a + 5, b + 4), 0)) AS "between", substr(t, greatest(a + 5, b + 4) + 1) AS "after",
   CASE WHEN a + 5 <= b THEN 'AB' WHEN b + 4 <= a THEN 'BA' END AS "order" FROM x""",
     "frame_append": "SELECT r_name AS name, r_regionkey AS k, 'place' AS kind FROM region WHERE r_regionkey IN (1, 2, 3) UNION ALL SELECT n_name, n_nationkey, 'place' FROM nation WHERE n_nationkey IN (1, 2, 3)",

@@ -110,9 +110,9 @@ def table_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _mx_int(spark: SparkSession, sf: str) -> DataFrame:
-    """Interactions by document: evidence documents stored as a plain ';' list."""
-    mx = table(spark, sf, "mx").where("evidence_documents rlike '^[A-Z0-9]+(;[A-Z0-9]+)*$'")
-    return mx.select("mirna_family", "gene_family", "interaction", F.explode(F.split("evidence_documents", ";")).alias("doc_id"))
+    """Interactions by document: the article ids in evidence_documents, however packed."""
+    ids = F.regexp_extract_all("evidence_documents", F.lit("((?:PMC)?[0-9]{6,})"), F.lit(1))
+    return table(spark, sf, "mx").select("mirna_family", "gene_family", "interaction", F.explode(ids).alias("doc_id"))
 
 
 def interaction_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -192,8 +192,7 @@ QUERIES = {
 }
 
 _INT = """
-mx_int AS (SELECT mirna_family, gene_family, interaction, unnest(string_split(evidence_documents, ';')) AS doc_id
-           FROM mx WHERE regexp_matches(evidence_documents, '^[A-Z0-9]+(;[A-Z0-9]+)*$'))"""
+mx_int AS (SELECT mirna_family, gene_family, interaction, unnest(regexp_extract_all(evidence_documents, '(?:PMC)?[0-9]{6,}')) AS doc_id FROM mx)"""
 _AUTH = """
 named AS (SELECT doc_id, author_ord, row_id, trim(concat_ws(' ', firstname, lastname)) AS name FROM mx_authors),
 auth AS (SELECT doc_id, arg_min(name, (author_ord, row_id)) AS first_author, arg_max(name, (author_ord, -row_id)) AS last_author FROM named WHERE name <> '' GROUP BY doc_id)"""

@@ -125,8 +125,9 @@ def context_reject_fuzzy(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def highlight_spans(spark: SparkSession, sf: str) -> DataFrame:
-    s = sents(spark, sf).where("length(text) > 20")
-    spans = F.expr("array(named_struct('start', 2, 'end', 5), named_struct('start', 9, 'end', 12))")
+    s = sents(spark, sf)
+    at = lambda *ps: F.struct(*(F.least(F.lit(p), F.length("text")).alias(n) for p, n in zip(ps, ("start", "end"))))
+    spans = F.array(at(2, 5), at(9, 12))
     return s.select("sent_id", tx.highlight(F.col("text"), spans).alias("marked"))
 
 
@@ -248,7 +249,7 @@ SELECT sent_id FROM y WHERE """ + " OR ".join(
         [f"contains(substr(text, s + 2, length(gene) + {n}), '{p}')" for p, k, n in relations.AFTER_GENE if k == 0 and p.replace("-", "").replace(" ", "").replace(".", "").isalpha() and "." not in p]
         + [f"contains(substr(text, greatest(s - 1 - {n}, 0) + 1, s - greatest(s - 1 - {n}, 0)), '{p}')" for p, k, n in relations.BEFORE_GENE if k == 0 and p.replace("-", "").replace(" ", "").isalpha()]
     ),
-    "highlight_spans": f"WITH {SENTENCES_SQL} SELECT sent_id, substr(text, 1, 2) || '<b>' || substr(text, 3, 3) || '</b>' || substr(text, 6, 4) || '<b>' || substr(text, 10, 3) || '</b>' || substr(text, 13) AS marked FROM sent WHERE length(text) > 20",
+    "highlight_spans": f"WITH {SENTENCES_SQL} SELECT sent_id, substr(text, 1, 2) || '<b>' || substr(text, 3, 3) || '</b>' || substr(text, 6, 4) || '<b>' || substr(text, 10, 3) || '</b>' || substr(text, 13) AS marked FROM sent",
     "collapsed_text": f"""WITH {SENTENCES_SQL} SELECT sent_id, regexp_replace(text, '[-()\\[\\]{{}}=!"§$%&/?+*''#]+', ' ', 'g') AS form FROM sent""",
     "mirna_parse": """
 WITH m AS (SELECT DISTINCT lower(mirna_family) || (CASE row_id % 4 WHEN 0 THEN '-5p' WHEN 1 THEN '-3p' WHEN 2 THEN '' ELSE 'a-1-3p' END) AS name FROM mx WHERE mirna_family <> '')

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_ROOTS: set[str] = set()
+
+
 def get_session(app: str = "litweft", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the plans are written for; on a cluster, submit-time settings win.
 
@@ -59,6 +64,25 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def temporary_root(spark: SparkSession) -> str:
+    """The application's own folder for intermediate tables, in shared storage; removed when the driver ends."""
+    root = f"{shared_dir(spark)}/litweft-{spark.sparkContext.applicationId}"
+    if root not in _ROOTS:
+        _ROOTS.add(root)
+        atexit.register(release, spark, root)
+    return root
+
+
+def release(spark: SparkSession, root: str | None = None) -> None:
+    """Delete the application's intermediate tables. Frames that read them can no longer be used."""
+    root = root or temporary_root(spark)
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # the JVM is gone already
+        shutil.rmtree(root.removeprefix("file://"), ignore_errors=True)
+
+
 def materialise(df: DataFrame, name: str = "tmp") -> DataFrame:
     """Cut the lineage by writing to the shared folder and reading back.
 
@@ -67,7 +91,7 @@ def materialise(df: DataFrame, name: str = "tmp") -> DataFrame:
     aggregated or narrow frames that are read more than once.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/litweft/{name}-{uuid.uuid4().hex}"
+    path = f"{temporary_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
