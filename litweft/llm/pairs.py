@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litweft.session import materialise, shared_dir
+from litweft.session import materialise, temporary_root
 
 #: Baskets with more items than this are spread over tasks by their left item before the pairs are made.
 WIDE = 256
@@ -62,7 +62,7 @@ class PairTable:
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None, seed: int = 11):
         self.spark, self.seed = spark, seed
-        self.path = (path or f"{shared_dir(spark)}/litweft/pairs-{uuid.uuid4().hex}").rstrip("/")
+        self.path = (path or f"{temporary_root(spark)}/pairs-{uuid.uuid4().hex}").rstrip("/")
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
         self.generation = 0
         self._where: dict[str, dict[int, int]] = {"item": {}, "pair": {}, "basket": {}}
