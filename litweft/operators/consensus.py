@@ -51,6 +51,20 @@ def consensus(ev: DataFrame, sent_struct: Column | None = None) -> DataFrame:
     return with_consensus_flag(g)
 
 
+def consensus_counts(ev: DataFrame) -> DataFrame:
+    """As ``consensus`` without the lists: organisms, counts and flag, for groups of any size.
+
+    Rows are combined per (group, document) first, map-side and exchanged on all of these columns; a
+    document's sentences are a small set, and only counts meet at the group. A sentence id belongs to one
+    document.
+    """
+    group = [*PAIR, "direction", "regulation"]
+    per_doc = ev.groupBy(*group, "doc_id").agg(F.size(F.collect_set("sent_id")).cast("long").alias("_s"), F.collect_set("organism").alias("_o"))
+    names = F.array_distinct(F.filter(F.flatten(F.transform(F.flatten(F.collect_set("_o")), lambda x: F.split(x, ";"))), lambda x: x != ""))
+    g = per_doc.groupBy(*group).agg(F.array_join(F.array_sort(names), ";").alias("organisms"), F.count("doc_id").alias("evidence_count"), F.sum("_s").alias("sent_count"))
+    return with_consensus_flag(g)
+
+
 def with_consensus_flag(df: DataFrame, pair: Sequence[str] = PAIR, count: str = "evidence_count") -> DataFrame:
     """Adds ``is_consensus``: 1 where ``count`` is the largest of its pair (ties all 1), else 0 (null counts 0)."""
     top = F.max(count).over(Window.partitionBy(*pair))

@@ -63,23 +63,29 @@ class TableQuery:
         return q
 
 
-def matching(df: DataFrame, q: TableQuery) -> DataFrame:
-    """The rows that a request selects, before order and page. Every condition is a pushable column predicate."""
+def predicate(q: TableQuery) -> Column:
+    """The condition of a request; a conjunction of plain column predicates, so it reaches the scan."""
+    ok = F.lit(True)
     if q.search:
         hit = F.lit(False)
         for c in q.search_columns:
             hit = hit | F.coalesce(anchored(F.col(c), q.search), F.lit(False))
-        df = df.where(hit)
+        ok = ok & hit
     for c, term in q.columns.items():
-        df = df.where(anchored(F.col(c), term))
+        ok = ok & anchored(F.col(c), term)
     for c, (low, high) in q.ranges.items():
         if low is not None:
-            df = df.where(F.col(c) >= low)
+            ok = ok & (F.col(c) >= low)
         if high is not None:
-            df = df.where(F.col(c) <= high)
+            ok = ok & (F.col(c) <= high)
     for c, v in q.equals.items():
-        df = df.where(F.col(c) == F.lit({"yes": 1, "no": 0}.get(v, v) if isinstance(v, str) else v))
-    return df
+        ok = ok & (F.col(c) == F.lit({"yes": 1, "no": 0}.get(v, v) if isinstance(v, str) else v))
+    return ok
+
+
+def matching(df: DataFrame, q: TableQuery) -> DataFrame:
+    """The rows that a request selects, before order and page."""
+    return df.where(predicate(q))
 
 
 def page(df: DataFrame, q: TableQuery) -> DataFrame:
@@ -89,9 +95,8 @@ def page(df: DataFrame, q: TableQuery) -> DataFrame:
 
 
 def counts(df: DataFrame, q: TableQuery) -> DataFrame:
-    """``(total, filtered)`` in one pass: the filter becomes a conditional count."""
-    hit = matching(df.withColumn("_one", F.lit(1)), q).agg(F.count("*").alias("filtered"))
-    return df.agg(F.count("*").alias("total")).crossJoin(hit)  # one row each
+    """``(total, filtered)`` in one pass: the filter is a conditional count."""
+    return df.agg(F.count("*").alias("total"), F.count_if(predicate(q)).alias("filtered"))
 
 
 def search(df: DataFrame, q: TableQuery) -> tuple[DataFrame, DataFrame]:

@@ -14,7 +14,7 @@ from litweft.session import table
 
 def consensus(spark: SparkSession, sf: str) -> DataFrame:
     """The flagship: consensus interactions with document and sentence counts."""
-    c = cons.consensus(evidence(spark, sf))
+    c = cons.consensus_counts(evidence(spark, sf))
     return c.select("mirna_family", "gene_family", "direction", "regulation", "organisms", "evidence_count", "sent_count", "is_consensus")
 
 

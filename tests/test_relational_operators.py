@@ -38,7 +38,8 @@ def test_consensus_ties_and_order(spark):
     ev = spark.createDataFrame([("m", "g", "MG", "UP", "mmu;hsa", "1", "s1"), ("m", "g", "MG", "UP", "hsa", "1", "s2"), ("m", "g", "GM", "UP", "", "2", "s3"), ("m", "h", None, None, None, None, None)], "mirna_family string, gene_family string, direction string, regulation string, organism string, doc_id string, sent_id string")
     got = consensus.consensus(ev)
     assert rows(got.select("gene_family", "direction", "organisms", "evidence_count", "sent_count", "is_consensus")) == [("g", "GM", "", 1, 1, 1), ("g", "MG", "hsa;mmu", 1, 2, 1), ("h", None, "", 0, 0, 1)]
-    assert consensus.consensus(ev.limit(0)).count() == 0
+    assert rows(consensus.consensus_counts(ev)) == rows(got.select("mirna_family", "gene_family", "direction", "regulation", "organisms", "evidence_count", "sent_count", "is_consensus"))
+    assert consensus.consensus(ev.limit(0)).count() == consensus.consensus_counts(ev.limit(0)).count() == 0
     assert rows(consensus.serving_rows(got).select("interaction").where("mirna_family is not null and gene_family = 'g'")) == [("GM;UP",), ("MG;UP",)]
 
 
