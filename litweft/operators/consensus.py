@@ -54,14 +54,19 @@ def consensus(ev: DataFrame, sent_struct: Column | None = None) -> DataFrame:
 def consensus_counts(ev: DataFrame) -> DataFrame:
     """As ``consensus`` without the lists: organisms, counts and flag, for groups of any size.
 
-    Rows are combined per (group, document) first, map-side and exchanged on all of these columns; a
-    document's sentences are a small set, and only counts meet at the group. A sentence id belongs to one
-    document.
+    Every row is split into its evidence and its organism; distinct ones are combined map-side and then
+    counted document by document, so a group with a third of all rows is spread over its documents, the
+    organisms of a group meet as a handful of rows, and every large step is a hash aggregation in
+    generated code. A sentence id belongs to one document.
     """
     group = [*PAIR, "direction", "regulation"]
-    per_doc = ev.groupBy(*group, "doc_id").agg(F.size(F.collect_set("sent_id")).cast("long").alias("_s"), F.collect_set("organism").alias("_o"))
-    names = F.array_distinct(F.filter(F.flatten(F.transform(F.flatten(F.collect_set("_o")), lambda x: F.split(x, ";"))), lambda x: x != ""))
-    g = per_doc.groupBy(*group).agg(F.array_join(F.array_sort(names), ";").alias("organisms"), F.count("doc_id").alias("evidence_count"), F.sum("_s").alias("sent_count"))
+    none = F.lit(None).cast("string")
+    halves = F.array(F.struct("doc_id", "sent_id", none.alias("organism")), F.struct(none.alias("doc_id"), none.alias("sent_id"), "organism"))
+    facts = ev.select(*group, F.explode(halves).alias("_x")).select(*group, "_x.*").distinct()
+    per_doc = facts.groupBy(*group, "doc_id", "organism").agg(F.count("sent_id").alias("_s"))
+    few = per_doc.groupBy(*group, "organism").agg(F.count("doc_id").alias("_d"), F.sum("_s").alias("_s"))
+    names = F.array_distinct(F.filter(F.flatten(F.transform(F.collect_set("organism"), lambda x: F.split(x, ";"))), lambda x: x != ""))
+    g = few.groupBy(*group).agg(F.array_join(F.array_sort(names), ";").alias("organisms"), F.sum("_d").alias("evidence_count"), F.sum("_s").alias("sent_count"))
     return with_consensus_flag(g)
 
 
