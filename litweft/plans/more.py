@@ -162,8 +162,8 @@ SELECT marker_id, p_name AS symbol FROM m UNION SELECT marker_id, symbol FROM m
     "alias_names": """
 SELECT n_nationkey AS accession, n_name AS name, alias FROM nation LEFT JOIN (SELECT r_regionkey, r_name AS alias FROM region UNION ALL SELECT r_regionkey, lower(r_name) FROM region) ON r_regionkey = n_nationkey""",
     "term_names": "SELECT row_id, name AS term_name FROM mx_annot LEFT JOIN (SELECT concept_id, min(concept) AS name FROM mx_annot WHERE concept <> '' GROUP BY 1) USING (concept_id) WHERE concept_id IS NOT NULL",
-    "merged_terms": "SELECT CAST(c_nationkey AS VARCHAR) AS term_id, min(c_name) AS name, string_agg(DISTINCT c_mktsegment, '|' ORDER BY c_mktsegment) AS synonyms, 0 AS n FROM customer GROUP BY 1",
-    "ancestors_by_level": "SELECT p_partkey AS seed, l AS level, CAST(p_partkey // (2 ** l)::BIGINT AS VARCHAR) AS nodes FROM part, (SELECT unnest([1, 2, 3]) AS l) WHERE p_partkey > 1 AND p_partkey // (2 ** l)::BIGINT >= 1",
+    "merged_terms": "SELECT CAST(c_nationkey AS VARCHAR) AS term_id, min(c_name) AS name, string_agg(DISTINCT c_mktsegment, '|' ORDER BY c_mktsegment) AS synonyms, CAST(0 AS BIGINT) AS n FROM customer GROUP BY 1",
+    "ancestors_by_level": "SELECT p_partkey AS seed, CAST(l AS BIGINT) AS level, CAST(p_partkey // (2 ** l)::BIGINT AS VARCHAR) AS nodes FROM part, (SELECT unnest([1, 2, 3]) AS l) WHERE p_partkey > 1 AND p_partkey // (2 ** l)::BIGINT >= 1",
     "excluded_annotations": """
 WITH a AS (SELECT row_id, doc_id, CASE WHEN row_id % 7 = 0 THEN concept_id || '_excl' ELSE concept_id END AS c FROM mx_annot WHERE doc_id IS NOT NULL AND concept_id IS NOT NULL)
 SELECT row_id, doc_id, c AS concept_id FROM a WHERE row_id % 7 <> 0 AND NOT EXISTS (SELECT 1 FROM a b WHERE b.doc_id = a.doc_id AND b.c = a.c || '_excl')""",

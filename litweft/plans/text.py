@@ -44,26 +44,26 @@ def _hits(spark: SparkSession, sf: str, **kw) -> DataFrame:
     return matcher.match(sents(spark, sf), lexicon(spark), **kw)
 
 
-HIT = ["sent_id", "dict_id", "syn", "start", "end"]
+HIT = ["sent_id", "dict_id", "syn", "cast(start as bigint) as start", "cast(end as bigint) as end"]
 
 
 def exact_hits(spark: SparkSession, sf: str) -> DataFrame:
     """Hits whose surface is the synonym itself."""
-    return _hits(spark, sf, only_longest=False).where("exact").select(*HIT)
+    return _hits(spark, sf, only_longest=False).where("exact").selectExpr(*HIT)
 
 
 def dictionary_hits(spark: SparkSession, sf: str) -> DataFrame:
     """Hits of plain words in any case, short ones exact only."""
     words = lexicon(spark).where("syn rlike '^[A-Za-z]+$'")
-    return matcher.match(sents(spark, sf), words, only_longest=False).select(*HIT)
+    return matcher.match(sents(spark, sf), words, only_longest=False).selectExpr(*HIT)
 
 
 def longest_match(spark: SparkSession, sf: str) -> DataFrame:
-    return _hits(spark, sf, only_longest=True).where("exact").select(*HIT)
+    return _hits(spark, sf, only_longest=True).where("exact").selectExpr(*HIT)
 
 
 def submatch_exclude(spark: SparkSession, sf: str) -> DataFrame:
-    return _hits(spark, sf, only_longest=False, submatch=["expression"]).where("exact").select(*HIT)
+    return _hits(spark, sf, only_longest=False, submatch=["expression"]).where("exact").selectExpr(*HIT)
 
 
 def high_frequency_surface(spark: SparkSession, sf: str) -> DataFrame:
@@ -80,7 +80,7 @@ def cooccurrence(spark: SparkSession, sf: str) -> DataFrame:
     s = sents(spark, sf)
     h = cooccur.dense_sentences_out(materialise(_hits(spark, sf, only_longest=False).where("exact"), "hits"), 4)
     p = cooccur.pairs(h.where("dict_id = 1"), h.where("dict_id = 2"), s, 300)
-    return p.select("sent_id", "syn_a", "syn_b", "start_a", "start_b")
+    return p.select("sent_id", "syn_a", "syn_b", F.col("start_a").cast("long").alias("start_a"), F.col("start_b").cast("long").alias("start_b"))
 
 
 def tagged_pairs(spark: SparkSession, sf: str) -> DataFrame:
