@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
@@ -149,14 +151,24 @@ def _contexts() -> dict[str, list]:
     return made
 
 
+def _context_free(text: str, start: int, end: int, after: list, before: list) -> bool:
+    return not (any(p.search(text, start + 1, min(len(text), end + 1 + n)) for p, n in after) or any(p.search(text, max(0, start - 1 - n), start) for p, n in before))
+
+
+def gene_context_ok(text: str, start: int, end: int) -> bool:
+    """No phrase, up to its allowed errors, in the windows after and before a gene."""
+    c = _contexts()
+    return _context_free(text, start, end, c["after_gene"], c["before_gene"])
+
+
+def mirna_context_ok(text: str, start: int, end: int) -> bool:
+    c = _contexts()
+    return _context_free(text, start, end, c["after_mirna"], c["before_mirna"])
+
+
 def context_ok(text: str, mir: tuple[int, int], gene: tuple[int, int]) -> bool:
     """No phrase, up to its allowed errors, in the windows after and before the two entities; not one entity."""
-    if mir[0] == gene[0]:
-        return False
-    c = _contexts()
-    after = lambda s, e, pats: any(p.search(text, s + 1, min(len(text), e + 1 + n)) for p, n in pats)
-    before = lambda s, pats: any(p.search(text, max(0, s - 1 - n), s) for p, n in pats)
-    return not (after(*gene, c["after_gene"]) or after(*mir, c["after_mirna"]) or before(gene[0], c["before_gene"]) or before(mir[0], c["before_mirna"]))
+    return mir[0] != gene[0] and gene_context_ok(text, *gene) and mirna_context_ok(text, *mir)
 
 
 def with_context_check(pairs: DataFrame) -> DataFrame:
@@ -184,6 +196,119 @@ def entity_ok(candidates: DataFrame, named: DataFrame, keys: Sequence[str] = ("s
     return candidates.join(bad, [*keys, "start", "end"], "left_anti")
 
 
+# -- every pair of mentions -------------------------------------------------------------------------
+_UNSEEN = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
+_U = f"[{_UNSEEN}]*"
+#: miRNA names and gene-like words; characters without width may stand inside.
+MIRNA = re.compile(rf"\b(?:M{_U}I{_U}R|L{_U}E{_U}T){_U}-{_U}[0-9](?:{_U}[0-9])*")
+GENE = re.compile(rf"\b[QXZ]{_U}[A-Z]{_U}[A-Z]{_U}[0-9](?:{_U}[0-9])*\b")
+#: A word with its inner hyphens, dots and apostrophes, or one mark.
+_TOKEN = re.compile(rf"\w+(?:(?:[-'.]|[{_UNSEEN}]+)\w+)*|[^\w\s{_UNSEEN}]")
+_BARE = str.maketrans("", "", _UNSEEN)
+PAIR_SCHEMA = "sent_id string, mir string, gene string, start_a int, end_a int, start_b int, end_b int"
+RULE_SCHEMA = f"{PAIR_SCHEMA}, rule string, direction string, regulation string"
+CONTEXT_SCHEMA = f"{PAIR_SCHEMA}, context boolean"
+#: Pairs handed on at once, so that a sentence with very many is not held as a whole.
+_CHUNK = 20_000
+
+
+class _Windows:
+    """The windows of a text, by tokens: two tokens around a pair, five before it, all between, all after, all before."""
+
+    def __init__(self, text: str):
+        spans = [m.span() for m in _TOKEN.finditer(text)]
+        self.words, self.starts = [text[s:e] for s, e in spans], [s for s, _ in spans]
+
+    def token(self, end: int) -> int:
+        """The last token that a span ending there touches."""
+        return max(bisect_right(self.starts, end - 1) - 1, 0)
+
+    def __call__(self, a: int, b: int) -> dict[str, str]:
+        cut = lambda s, e: " ".join(self.words[max(s, 0) : max(e, 0)])
+        return {"text": cut(a - 2, b + 3), "before": cut(a - 5, a), "between": cut(a + 1, b)}
+
+    def says(self, phrase: str, s: int, e: int) -> bool:
+        return phrase in " ".join(self.words[max(s, 0) : max(e, 0)])
+
+
+def _pair_rule(w: _Windows, mir: tuple[int, int], gene: tuple[int, int]) -> tuple[str | None, str | None, str | None]:
+    """(rule, direction, regulation) of the first phrase rule that holds in the windows of a pair, or Nones."""
+    m, g = w.token(mir[1]), w.token(gene[1])
+    a, b = min(m, g), max(m, g)
+    scope = w(a, b)
+    order = "mir gene" if mir[0] < gene[0] else "gene mir"
+    for name, o, where, phrases, regulation, direction in PHRASE_RULES:
+        if o != order:
+            continue
+        if name == "between gene mir reg corr":
+            x = phrases[0]
+            if x in scope["text"] and not w.says(x, b + 1, len(w.words)):
+                ahead = x not in scope["between"] and w.says(x, 0, a)
+                return name, "MIR_GENE" if ahead else direction, regulation
+        elif any(x in scope[where] for x in phrases):
+            return name, direction, regulation
+    return None, None, None
+
+
+def _over_pairs(sentences: DataFrame, schema: str, judge) -> DataFrame:
+    """One row per pair of a miRNA mention and a gene mention of a sentence; ``judge(text, mirs, genes)`` is called once
+    per sentence and gives a function of two positions in the lists of spans."""
+    names = [c.split()[0] for c in schema.split(", ")]
+    kinds = [{"int": pa.int32(), "boolean": pa.bool_()}.get(c.split()[1], pa.string()) for c in schema.split(", ")]
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*rows)) if rows else [[] for _ in names]
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds)], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for b in batches:
+            for sid, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                genes = [x.span() for x in GENE.finditer(text)]
+                mirs = [x.span() for x in MIRNA.finditer(text)] if genes else []
+                if not mirs:
+                    continue
+                verdict = judge(text, mirs, genes)
+                bare = lambda s, text=text: text[s[0] : s[1]].translate(_BARE)
+                mir_names, gene_names = [bare(s) for s in mirs], [bare(s) for s in genes]
+                for i, m in enumerate(mirs):
+                    for j, g in enumerate(genes):
+                        rows.append((sid, mir_names[i], gene_names[j], *m, *g, *verdict(i, j)))
+                        if len(rows) >= _CHUNK:
+                            yield batch(rows)
+                            rows = []
+        yield batch(rows)
+
+    return sentences.select("sent_id", "text").where("text is not null").mapInArrow(run, schema)
+
+
+def pair_rules(sentences: DataFrame) -> DataFrame:
+    """RULE_SCHEMA: the first phrase rule of every pair of mentions in ``sentences`` (sent_id, text), nulls if none holds.
+
+    The windows are those of the decision list without a parse: two tokens around the pair, five before it, all
+    strictly between. Conditions on a parse (passive, a negative stem on the path) do not apply.
+    """
+
+    def judge(text: str, mirs: list, genes: list):
+        w = _Windows(text)
+        return lambda i, j: _pair_rule(w, mirs[i], genes[j])
+
+    return _over_pairs(sentences, RULE_SCHEMA, judge)
+
+
+def pair_contexts(sentences: DataFrame) -> DataFrame:
+    """CONTEXT_SCHEMA: does every pair of mentions in ``sentences`` (sent_id, text) pass the context check?
+
+    A mention is looked at once, not once per pair.
+    """
+
+    def judge(text: str, mirs: list, genes: list):
+        mir_ok, gene_ok = [mirna_context_ok(text, *s) for s in mirs], [gene_context_ok(text, *s) for s in genes]
+        return lambda i, j: (mir_ok[i] and gene_ok[j] and mirs[i][0] != genes[j][0],)
+
+    return _over_pairs(sentences, CONTEXT_SCHEMA, judge)
+
+
 # -- on a parse -------------------------------------------------------------------------------------
 VERBS = ("VERB", "AUX")
 NOUNS = ("NOUN", "PROPN")

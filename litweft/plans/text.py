@@ -100,7 +100,8 @@ def stem_direction(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def relation_rules_text(spark: SparkSession, sf: str) -> DataFrame:
-    """The phrase rules on the text between the first miRNA and the first gene-like word of a sentence."""
+    """The phrase rules on the text between the first miRNA and the first gene-like word of a sentence, as far as its
+    SQL twin goes; relation_rules_pairs takes every pair."""
     s = sents(spark, sf).select("sent_id", "text", F.regexp_extract("text", "MIR-[0-9]+", 0).alias("mir"), F.regexp_extract("text", "\\b[QXZ][A-Z]{2}[0-9]+\\b", 0).alias("gene"))
     s = s.where("mir <> '' and gene <> ''").withColumn("m", F.instr("text", F.col("mir"))).withColumn("g", F.instr("text", F.col("gene")))
     before = F.substring("text", F.lit(1), F.least("m", "g") - 1)
@@ -117,11 +118,14 @@ def context_reject_exact(spark: SparkSession, sf: str) -> DataFrame:
     return s.where(relations.context_reject_exact(F.col("text"), start, start + F.length("gene"))).select("sent_id")
 
 
+def relation_rules_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """The phrase rules of every pair of mentions of a sentence, in the windows of the decision list."""
+    return relations.pair_rules(sents(spark, sf))
+
+
 def context_reject_fuzzy(spark: SparkSession, sf: str) -> DataFrame:
-    s = sents(spark, sf).select("sent_id", "text", F.regexp_extract("text", "MIR-[0-9]+", 0).alias("mir"), F.regexp_extract("text", "\\b[QXZ][A-Z]{2}[0-9]+\\b", 0).alias("gene")).where("mir <> '' and gene <> ''")
-    at = lambda c: (F.instr("text", F.col(c)) - 1).cast("int")
-    p = s.select("sent_id", "text", at("mir").alias("start_a"), (at("mir") + F.length("mir")).cast("int").alias("end_a"), at("gene").alias("start_b"), (at("gene") + F.length("gene")).cast("int").alias("end_b"))
-    return relations.with_context_check(p).select("sent_id", "context")
+    """The context check of every pair of mentions of a sentence."""
+    return relations.pair_contexts(sents(spark, sf))
 
 
 def highlight_spans(spark: SparkSession, sf: str) -> DataFrame:
@@ -167,7 +171,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         sentences, sentence_ids, usable_sentences, exact_hits, dictionary_hits, longest_match, submatch_exclude, high_frequency_surface, common_word_removal, cooccurrence, tagged_pairs,
-        sentence_fragments, stem_direction, relation_rules_text, context_reject_exact, context_reject_fuzzy, highlight_spans, collapsed_text, mirna_parse, synonym_clean, hyphen_variants,
+        sentence_fragments, stem_direction, relation_rules_text, relation_rules_pairs, context_reject_exact, context_reject_fuzzy, highlight_spans, collapsed_text, mirna_parse, synonym_clean, hyphen_variants,
         greek_variants, acronyms,
     )
 }
