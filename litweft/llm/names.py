@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from litweft.llm.linkage import cluster
-from litweft.llm.simjoin import similar_keys
+from litweft.llm.simjoin import edit_keys, similar_keys
 from litweft.session import materialise
 
 # Words around a name, particles of last names, words of organisations and their short forms.
@@ -232,7 +232,8 @@ def link_names(names: DataFrame, short_names: DataFrame, row_id: str = "row_id",
        which word is the given name is learnt from the collection;
     2. spellings with equal parts become one form, so that the pairs below are between forms;
     3. last names and organisations' proper words are joined by cosine of weighted character n-grams
-       (no cap on partners), followed by the exact check of one edit;
+       (no cap on partners) and by shared deletions and letters, which find every pair one edit apart,
+       followed by the exact check of one edit;
     4. a form whose last name is one edit from that of a better attested compatible form also answers
        to that name; forms that share a name and a first letter are scored: given names must agree, as
        words, familiar forms, misspellings or initials, and so must further initials;
@@ -258,7 +259,8 @@ def link_names(names: DataFrame, short_names: DataFrame, row_id: str = "row_id",
     one_edit = _near_sql(F.col("key_a"), F.col("key_b")) & (F.least(F.length("key_a"), F.length("key_b")) >= 5)
     longer, shorter = (F.when((F.length("key_a") > F.length("key_b")) == big, F.col("key_a")).otherwise(F.col("key_b")) for big in (True, False))
     glued = F.endswith(longer, shorter) & F.expr("abs(length(key_a) - length(key_b))").between(2, 4) & F.substring(longer, F.lit(1), F.length(longer) - F.length(shorter)).isin(sorted(PARTICLES | {"dela", "vonder", "vander"}))
-    close = similar_keys(forms.select("key").distinct(), exact=one_edit | glued)
+    keys = forms.select("key").distinct()
+    close = similar_keys(keys, exact=one_edit | glued).select("key_a", "key_b").unionByName(edit_keys(keys.where("length(key) >= 5"), one_edit)).distinct()
     close = materialise(close.select("key_a", "key_b").unionByName(close.select(F.col("key_b").alias("key_a"), F.col("key_a").alias("key_b"))), "close")
 
     # blocks: the first letters a form may begin with

@@ -56,6 +56,21 @@ def similar_keys(keys: DataFrame, n: int = 3, threshold: float = 0.33, exact: Co
     return out
 
 
+def edit_keys(keys: DataFrame, exact: Column) -> DataFrame:
+    """``(key_a, key_b)``, key_a < key_b: distinct keys that share a deletion or their letters and fulfil ``exact``.
+
+    Complete for one edit and for two letters swapped: keys one edit apart, or with two neighbours swapped, have a form
+    in common when each may lose one letter (or none); keys with any two letters swapped have the same letters. Every
+    key enters with its length + 2 forms, so the join grows with the number of keys.
+    """
+    key = F.col("key")
+    cut = F.transform(F.sequence(F.lit(1), F.length(key)), lambda i: F.concat(F.substring(key, F.lit(1), i - 1), F.substring(key, i + 1, F.length(key))))
+    letters = F.concat(F.lit("\n"), F.array_join(F.array_sort(F.split(key, "")), ""))
+    posted = materialise(keys.where("key <> ''").select("key", F.explode(F.array_distinct(F.concat(cut, F.array(key, letters)))).alias("form")), "deletions")
+    a, b = posted.select("form", F.col("key").alias("key_a")), posted.select("form", F.col("key").alias("key_b"))
+    return a.join(b, "form").where("key_a < key_b").where(exact).select("key_a", "key_b").distinct()
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``(id, component)`` of every id in ``edges`` (a, b longs); a component is named by its smallest id.
 
