@@ -89,6 +89,18 @@ def tagged_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("sent_id", tx.tag_pair(F.col("text"), F.col("start_a"), F.col("end_a"), F.col("start_b"), F.col("end_b")).alias("tagged"))
 
 
+def all_hits(spark: SparkSession, sf: str) -> DataFrame:
+    """Every accepted hit of the whole lexicon, in all forms of a sentence."""
+    return _hits(spark, sf, only_longest=False).selectExpr(*HIT, "matched", "exact")
+
+
+def all_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of the two dictionaries over all accepted hits, with the usual limits on density and length."""
+    h = cooccur.dense_sentences_out(materialise(_hits(spark, sf, only_longest=False), "hits"))
+    p = cooccur.pairs(h.where("dict_id = 1"), h.where("dict_id = 2"), sents(spark, sf))
+    return p.select("sent_id", "syn_a", "matched_a", "start_a", "end_a", "syn_b", "matched_b", "start_b", "end_b")
+
+
 def sentence_fragments(spark: SparkSession, sf: str) -> DataFrame:
     return relations.fragments(sents(spark, sf)).select("sent_id", F.col("pos").cast("long").alias("pos"), F.col("start").cast("long").alias("start"), "fragment")
 
@@ -170,7 +182,7 @@ def acronyms(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        sentences, sentence_ids, usable_sentences, exact_hits, dictionary_hits, longest_match, submatch_exclude, high_frequency_surface, common_word_removal, cooccurrence, tagged_pairs,
+        sentences, sentence_ids, usable_sentences, exact_hits, dictionary_hits, longest_match, submatch_exclude, high_frequency_surface, common_word_removal, cooccurrence, tagged_pairs, all_hits, all_pairs,
         sentence_fragments, stem_direction, relation_rules_text, relation_rules_pairs, context_reject_exact, context_reject_fuzzy, highlight_spans, collapsed_text, mirna_parse, synonym_clean, hyphen_variants,
         greek_variants, acronyms,
     )
