@@ -31,7 +31,7 @@ def test_top_n(spark, n):
 
 
 def test_heaps_handed_on_early(spark, monkeypatch):
-    run = topn._heaps(2, False)
+    run = topn._local_heaps(2)
     import pyarrow as pa
 
     monkeypatch.setattr(topn, "HELD", 0)
@@ -39,6 +39,24 @@ def test_heaps_handed_on_early(spark, monkeypatch):
     assert sum(x.num_rows for x in run(iter([b, b]))) >= 2
 
 
+def test_heaps_come_before_the_only_exchange(spark):
+    df = spark.range(1000).selectExpr("'g' as g", "cast(id as string) as i", "id as s").repartition(8)
+    plan = topn.top_n(df, "g", "i", "s", 3)._jdf.queryExecution().optimizedPlan().toString()
+    heaps, exchanges = plan.count("MapInArrow"), plan.count("RepartitionByExpression [grp")
+    assert (heaps, exchanges) == (2, 1) and "Aggregate" not in plan
+
+
+def test_groups_across_batches(spark):
+    data = [(f"g{k % 50:02d}", f"i{k % 977:04d}", k * 7919 % 101) for k in range(5000)]
+    df = spark.createDataFrame(data, "g string, i string, s int").repartition(6)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert rows(topn.top_n(df, "g", "i", "s", 4)) == brute(data, 4)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_top_n_empty_and_clash(spark):
     df = spark.createDataFrame([], "g string, i string, s int, grp string, item string, score int, place int")
     assert topn.top_n(df, "g", "i", "s", 3).count() == 0
