@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Window
@@ -95,24 +96,44 @@ def _reach(n: Node) -> float:
     return sum(_reach(c) for c in n.children.values() if c.weight > 0) if n.children else n.capacity
 
 
-def plan(sizes: dict[tuple[str, ...], int], weight: dict[tuple[str, ...], float], repeats: dict[tuple[str, ...], int], total: float) -> dict[tuple[str, ...], float]:
-    """Budgets by leaf. ``weight`` maps every prefix of a leaf's path; where one is missing, siblings are
+def feasible(n: Node) -> float:
+    """The largest amount of which every child with text takes its full part by weight.
+
+    Children of weight 0 and children without text are left out, as ``allocate`` leaves them out; where no
+    child is left it is 0. At this amount or less the shares of those that have text are met exactly.
+    """
+    if not n.children:
+        return n.capacity
+    able = [c for c in n.children.values() if c.weight > 0 and _reach(c) > 0]
+    whole = sum(c.weight for c in able)
+    return min((feasible(c) * whole / c.weight for c in able), default=0.0)
+
+
+def _tree(sizes: dict[tuple[str, ...], int], weight: dict[tuple[str, ...], float], repeats: dict[tuple[str, ...], int]) -> Node:
+    """Tree of the leaves' sizes. ``weight`` maps prefixes of paths; where one is missing, siblings are
     weighted by their size. ``repeats`` is by the longest prefix given, 1 otherwise."""
     below: dict[tuple[str, ...], int] = defaultdict(int)
     for path, n in sizes.items():
         for k in range(1, len(path) + 1):
             below[path[:k]] += n
     reps = lambda path: next((repeats[path[:k]] for k in range(len(path), 0, -1) if path[:k] in repeats), 1)
-    leaves = [(path, tuple(weight.get(path[:k], float(below[path[:k]])) for k in range(1, len(path) + 1)), float(n * reps(path))) for path, n in sorted(sizes.items())]
-    return allocate(grow(leaves), total)
+    return grow([(path, tuple(weight.get(path[:k], float(below[path[:k]])) for k in range(1, len(path) + 1)), float(n * reps(path))) for path, n in sorted(sizes.items())])
+
+
+def plan(sizes: dict[tuple[str, ...], int], weight: dict[tuple[str, ...], float], repeats: dict[tuple[str, ...], int], total: float | None = None) -> dict[tuple[str, ...], float]:
+    """Budgets by leaf, of ``total`` or, if it is None, of the ``feasible`` amount; see ``_tree``."""
+    tree = _tree(sizes, weight, repeats)
+    return allocate(tree, feasible(tree) if total is None else total)
 
 
 def mix(docs: DataFrame, size: str, levels: list[str], weights: dict[tuple[str, ...], float], repeats: dict[tuple[str, ...], int], total: int | None = None, seed: int = 7, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``(*keep, *levels, size, epoch)``: the mixture, one row per use of a document.
 
-    ``levels`` are the columns of the tree from root to leaf (null is a value there, named ''). Only
-    documents below a node of ``weights`` at the first level take part. ``total`` is the wanted size,
-    the size of all taking part if None. Every leaf gives its documents in whole epochs and then a
+    ``levels`` are the columns of the tree from root to leaf (null is a value there, named ''). ``weights``
+    maps paths from the root to weights; where it names children of a node, its other children do not take
+    part. ``total`` is the wanted size; if None, the largest at which every named node that has text meets
+    its share under its cap, so that a source too small for its share bounds the mixture and not the shares.
+    Every leaf gives its documents in whole epochs and then a
     prefix of one more epoch, in the order of a hash of (seed, epoch, document): the prefix that comes
     nearest to the budget. A document is used at most as often as ``repeats`` says. Documents of size 0
     or null are used as the order has them and add nothing. Empty input gives no rows.
@@ -128,7 +149,9 @@ def mix(docs: DataFrame, size: str, levels: list[str], weights: dict[tuple[str,
     sizes = {tuple(r["_path"]): r["n"] for r in src.groupBy("_path").agg(F.sum(size).alias("n")).limit(MAX_LEAVES + 1).collect()}
     if len(sizes) > MAX_LEAVES:
         raise ValueError(f"more than {MAX_LEAVES} leaves")
-    budgets = plan(sizes, weights, repeats, float(sum(sizes.values()) if total is None else total))
+    levelled = {n: {w[:-1] for w in weights if len(w) == n} for n in range(1, len(levels) + 1)}
+    sizes = {p: n for p, n in sizes.items() if all(p[:k] in weights for k, parents in levelled.items() if p[: k - 1] in parents)}
+    budgets = plan(sizes, weights, repeats, None if total is None else float(total))
     rows = [(list(p), int(budgets[p] // n) if n else 0, float(budgets[p] - (budgets[p] // n) * n) if n else 0.0) for p, n in sizes.items()]
     schema = T.StructType([T.StructField("_path", T.ArrayType(T.StringType())), T.StructField("_whole", T.IntegerType()), T.StructField("_rest", T.DoubleType())])
     leaf = F.broadcast(spark.createDataFrame(rows, schema))  # at most MAX_LEAVES rows, checked above
@@ -148,6 +171,20 @@ def mix(docs: DataFrame, size: str, levels: list[str], weights: dict[tuple[str,
     return used.select(*keep, *levels, size, F.explode(F.sequence(F.lit(0), F.col("_uses") - 1)).alias("epoch"))
 
 
+def target_tree(targets: list[tuple[str, float, int]], domain: Callable[[str], str]) -> tuple[dict[tuple[str, ...], float], dict[tuple[str, ...], int]]:
+    """Weights and repeats of the tree domain / source, of (source, share, max_repeats): a domain weighs what
+    its sources weigh together. Repeated sources raise."""
+    weights: dict[tuple[str, ...], float] = {}
+    repeats: dict[tuple[str, ...], int] = {}
+    for source, share, most in targets:
+        path = (domain(source), source)
+        if path in weights:
+            raise ValueError(f"source {source!r} occurs twice")
+        weights[path], repeats[path] = float(share), int(most)
+        weights[path[:1]] = weights.get(path[:1], 0.0) + float(share)
+    return weights, repeats
+
+
 def shares(docs: DataFrame, mixture: DataFrame, size: str, source: str, targets: DataFrame, share: str, repeats: str) -> DataFrame:
     """``(source, target_share, max_repeats, available, reached, share_reached, most_uses)`` of every source
     named in ``targets`` (its column ``source``), also of those without a document."""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litweft.llm.lookalike import canonical, equal_looking
-from litweft.llm.mixture import mix, shares
+from litweft.llm.mixture import mix, shares, target_tree
 from litweft.llm.names import link_names, linked_pairs
 from litweft.llm.pairs import PairTable, baskets, row_baskets
 from litweft.llm.terms import mark_terms, record_key, term_rows
@@ -81,13 +81,30 @@ def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # -- 8: mixture --------------------------------------------------------------------------------------
+#: Sources that the targets may name; they are planned on the driver, and more are refused.
+MAX_TARGETS = 100_000
+
+
 def _mixture(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    docs = materialise(count_tokens(spread(table(spark, sf, "documents").select("doc_id", "source", "lang", "text")), keep=("doc_id", "source", "lang")), "sizes")
+    """The tree is domain (last word of the source: article, note, ...) / source / language."""
+    domain = F.substring_index(F.coalesce("source", F.lit("")), "_", -1)
+    docs = spread(table(spark, sf, "documents").select("doc_id", "source", "lang", "text", domain.alias("domain")))
+    docs = materialise(count_tokens(docs, keep=("doc_id", "domain", "source", "lang")), "sizes")
     targets = table(spark, sf, "mix_targets")
-    want = {r["source"]: r for r in targets.limit(100_000).collect()}  # one row per source, a fixed list
-    weights = {(s,): float(r["target_share"]) for s, r in want.items()}
-    repeats = {(s,): int(r["max_repeats"]) for s, r in want.items()}
-    return docs, mix(docs, "n_tokens", ["source", "lang"], weights, repeats), targets
+    weights, repeats = target_tree(named_targets(targets), lambda s: s.rsplit("_", 1)[-1])
+    return docs, mix(docs, "n_tokens", ["domain", "source", "lang"], weights, repeats).drop("domain"), targets
+
+
+def named_targets(targets: DataFrame) -> list[tuple[str, float, int]]:
+    """The rows of the list of targets; too many raise, as a dropped one would change every share.
+
+    Rows without a source or a share aim at nothing; without a number of repeats it is 1.
+    """
+    rows = targets.where("source is not null and target_share is not null")
+    rows = rows.select("source", "target_share", F.coalesce("max_repeats", F.lit(1))).limit(MAX_TARGETS + 1).collect()
+    if len(rows) > MAX_TARGETS:
+        raise ValueError(f"more than {MAX_TARGETS} targets")
+    return [tuple(r) for r in rows]
 
 
 def p8_mixture(spark: SparkSession, sf: str) -> DataFrame:

@@ -134,3 +134,59 @@ def test_one_source_with_everything(spark):
     df = spark.range(2000).selectExpr("id as doc_id", "'s' as source", "10L as n")
     got = mixture.mix(df, "n", ["source"], {("s",): 1.0}, {("s",): 3}, total=45_000)
     assert rows(got.groupBy("epoch").count()) == [(0, 2000), (1, 2000), (2, 500)]
+
+
+def test_total_from_the_caps():
+    """The largest total at which the shares hold equals a search by brute force."""
+    r = random.Random(11)
+    for _ in range(60):
+        sizes = {(f"d{i % 2}", f"s{i}"): r.choice([0, 3, 40, 500]) for i in range(5)}
+        weight = {p: r.choice([0.1, 0.2, 0.5]) for p in sizes}
+        for p in sizes:
+            weight[p[:1]] = weight.get(p[:1], 0) + weight[p]
+        repeats = {p: r.choice([1, 2, 4]) for p in sizes}
+        got = sum(mixture.plan(sizes, weight, repeats).values())
+        able = [d for d in {p[0] for p in sizes} if any(n and p[0] == d for p, n in sizes.items())]
+
+        def share(p):  # a source's share when those without text are left out, level by level
+            mates = [q for q in sizes if q[0] == p[0] and sizes[q]]
+            return weight[p[:1]] / sum(weight[(d,)] for d in able) * weight[p] / sum(weight[q] for q in mates)
+
+        want = min((sizes[p] * repeats[p] / share(p) for p in sizes if sizes[p]), default=0)
+        assert abs(got - want) < 1e-6 * max(want, 1)
+        assert all(abs(b - got * share(p)) < 1e-6 * max(want, 1) for p, b in mixture.plan(sizes, weight, repeats).items() if sizes[p])
+
+
+def test_shares_meet_their_targets_and_unnamed_sources_stay_out(spark):
+    r = random.Random(3)
+    docs_ = [(i, s, r.randint(1, 9)) for i, s in enumerate(["a_x"] * 4000 + ["b_x"] * 300 + ["c_y"] * 900 + ["z_x"] * 500)]
+    df = spark.createDataFrame(docs_, "doc_id long, source string, n long").selectExpr("*", "substring_index(source, '_', -1) as domain")
+    targets = [("a_x", 0.5, 1), ("b_x", 0.2, 2), ("c_y", 0.2, 3), ("no_y", 0.1, 1)]
+    w, rep = mixture.target_tree(targets, lambda s: s.rsplit("_", 1)[-1])
+    m = mixture.mix(df, "n", ["domain", "source"], w, rep)
+    got = mixture.shares(df, m, "n", "source", spark.createDataFrame(targets, "source string, target_share double, max_repeats int"), "target_share", "max_repeats")
+    share = {x.source: x.share_reached for x in got.collect()}
+    # what no_y cannot give goes to its sibling c_y first
+    assert share["no_y"] == 0 and all(abs(share[s] - t) < 0.005 for s, t in (("a_x", 0.5), ("b_x", 0.2), ("c_y", 0.3)))
+    assert m.where("source = 'z_x'").count() == 0
+    with pytest.raises(ValueError):
+        mixture.target_tree([("a", 1, 1), ("a", 1, 1)], str)
+
+
+def test_too_many_targets_raise(spark):
+    queries = pytest.importorskip("litweft.llm.queries")
+    many = spark.range(100_001).selectExpr("cast(id as string) as source", "1e-5D as target_share", "1 as max_repeats")
+    with pytest.raises(ValueError):
+        queries.named_targets(many)
+    assert len(queries.named_targets(many.limit(100_000))) == 100_000
+    odd = spark.createDataFrame([(None, 0.5, 1), ("a", None, 1), ("b", 0.5, None)], "source string, target_share double, max_repeats int")
+    assert queries.named_targets(odd) == [("b", 0.5, 1)]
+
+
+def test_pieces_equal_whole_texts():
+    tok = tokens._tokenizer(tokens.tokenizer_path())
+    pieces = tokens._Pieces(tokens.tokenizer_path())
+    odd = ["it's  \u00a0we'll\n\n x1²٣ \U0001f468\u200d\U0001f52c a\u0301 \x1c\x85 \u3000末尾 ", "\u0378 unassigned \U00010940x", "<|endoftext|>", " " * 300, "x" * 500, "'S 'rE don'T"]
+    for t in odd:
+        assert [i for p in pieces.ids(t) for i in p] == tok.encode(t, add_special_tokens=False).ids
+    assert not pieces.whole and all(len(p) <= tokens.PIECE_CHARS for p in pieces)
