@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litweft.llm.lookalike import canonical, equal_looking
+from litweft.llm.lookalike import canonical, equal_looking, look_classes
 from litweft.llm.mixture import mix, shares, target_tree
 from litweft.llm.names import link_names, linked_pairs
 from litweft.llm.pairs import PairTable, baskets, row_baskets
@@ -124,6 +124,11 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return equal_looking(spread(table(spark, sf, "documents").select("doc_id", "text")))
 
 
+def p9_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """Every such document with its class and the number of its partners."""
+    return look_classes(spread(table(spark, sf, "documents").select("doc_id", "text")))
+
+
 def p9_canonical(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's text in its consistent form."""
     return canonical(spread(table(spark, sf, "documents").select("doc_id", "text"))).select("doc_id", "canon")
@@ -131,7 +136,7 @@ def p9_canonical(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found, "p1_pairs": p1_pairs, "p2_found": p2_found, "p5_found": p5_found, "p5_clusters": p5_clusters, "p6_found": p6_found, "p6_terms": p6_terms, "p7_ids": p7_ids,
-    "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p9_found": p9_found, "p9_canonical": p9_canonical,
+    "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p9_found": p9_found, "p9_classes": p9_classes, "p9_canonical": p9_canonical,
 }
 
 _PAIRS = """

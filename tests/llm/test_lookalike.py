@@ -16,13 +16,14 @@ T = look.transducer()
     [
         (None, None), ("", ""), ("plain", "plain"), ("ＭＩＲ－３", "MIR-3"), ("a b c　d", "a b c d"), ("in​fil­tra﻿te", "infiltrate"),
         ("ö", "ö"), ("o‍̈", "ö"), ("ﬁne ﬂow", "fine flow"), ("МІR‐1", "MIR-1"), ("K", "K"), ("µM", "μM"), ("Ά", "Á"), ("ё", "ë"), ("a\r\nb\rc", "a\nb\nc"),
+        ("\u1100\u1161", "\uac00"), ("\uac00\u11a8", "\uac01"), ("\u0b95\u0bc6\u0bbe", "\u0b95\u0bca"), ("\uff76\uff9e", "\u30ac"), ("a\u202eb\u2066c\ufe0f", "abc"), ("e\u200b\u0323\u0301", "\u1eb9\u0301"),
     ],
 )
 def test_form(text, want):
     assert T(text) == want
 
 
-@pytest.mark.parametrize(("a", "b"), [("cm²", "cm2"), ("H₂", "H2"), ("e", "é"), ("MIR", "mir"), ("MIR-1", "MIR1"), ("×", "x"), ("—", "-"), ("β", "ß"), ("👨‍🔬", "👨🔬")])
+@pytest.mark.parametrize(("a", "b"), [("cm²", "cm2"), ("H₂", "H2"), ("e", "é"), ("MIR", "mir"), ("MIR-1", "MIR1"), ("×", "x"), ("—", "-"), ("β", "ß"), ("👨‍🔬", "👨🔬"), ("👩🏽‍🚀", "👩🏽🚀"), ("\u0601", "")])
 def test_visible_differences_stay(a, b):
     assert T(a) != T(b)
 
@@ -33,6 +34,31 @@ def test_fixed_point(s):
     assert T(T(s)) == T(s)
 
 
+def test_public_table_of_confusable_letters(spark):
+    alike = look.confusable_letters(spark)
+    t = look.Transducer(alike=alike)
+    assert len(alike) > 150
+    for odd, plain in {"\u0261": "g", "\u04ae": "Y", "\u0555": "O", "\u13aa": "A", "\u2c9e": "O", "\ua4d0": "B", "\u0474": "V", "\u04c0": "I", "\u1d20": "v"}.items():
+        assert t(odd) == plain
+    assert t("\u0413") == t("\u0393") and t("\u041f") == t("\u03a0")  # alike in two other alphabets
+    for a, b in ("αa", "γy", "ıi", "ɪi", "Ьb", "З3", "𝐀A", "ßβ", "Øo", "ю1"):
+        assert t(a) != t(b)
+    assert all(t(f) == f for f in map(t, alike)) and all(a.isupper() == f.isupper() or a.lower() == a.upper() for a, f in alike.items())
+
+
+def test_classes_say_what_the_pairs_say(spark):
+    texts = ["abc", "abc", "аbc", "ａｂｃ", "abC", None, "", "x" * 50_000, "x" * 49_999 + "х", "solo", "ab\u200bc"]
+    df = spark.createDataFrame([(i, t, "c", 1) for i, t in enumerate(texts)], "doc_id long, text string, class_id string, n_links int")
+    pairs, links = rows(look.equal_looking(df)), {}
+    for a, b in pairs:
+        links.setdefault(a, []).append(b)
+        links.setdefault(b, []).append(a)
+    got = rows(look.look_classes(df))
+    assert sorted((d, n) for d, _, n in got) == sorted((d, len(o)) for d, o in links.items())
+    assert {d: c for d, c, _ in got} == {d: min([d, *o, *(x for p in o for x in links[p])]) for d, o in links.items()}
+    assert rows(look.look_classes(df.limit(0))) == []
+
+
 def test_conflicts_are_found():
     with pytest.raises(look.Conflict):
         look.Transducer({"Ａ": "B"})
