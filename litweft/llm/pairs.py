@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from litweft.session import materialise, temporary_root
 
-#: Baskets with more items than this are spread over tasks by their left item before the pairs are made.
+#: Baskets with more items than this are cut into blocks of so many, and every two blocks meet in a task of their own.
 WIDE = 256
 
 
@@ -50,9 +51,11 @@ class PairTable:
     checked to be unique at every update; a collision raises rather than merging two items.
 
     ``update`` turns changed baskets into deltas (+1 for the items and pairs they have now, -1 for
-    those they had), sums them, and rewrites only the buckets that the deltas touch as a new
-    generation. The bucket -> generation map is written last, so a failed update leaves the former
-    state valid. Nothing is kept on executors: the state is Parquet in shared storage.
+    those they had), sums them, and rewrites only the buckets that the deltas touch. Every attempt writes into a folder
+    of its own, and the manifest (bucket count, seed, where each bucket lies, the last delta of the items) is renamed
+    into place at the end. So an update that fails or whose driver dies leaves the former state valid, and its
+    leftovers meet nothing that is written later. Nothing is kept on executors: the state is Parquet in
+    shared storage. A table has one writer at a time.
 
     The buckets are those of the aggregation's own exchange, so writing them needs no second shuffle.
     """
@@ -65,20 +68,42 @@ class PairTable:
         self.path = (path or f"{temporary_root(spark)}/pairs-{uuid.uuid4().hex}").rstrip("/")
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
         self.generation = 0
-        self._where: dict[str, dict[int, int]] = {"item": {}, "pair": {}, "basket": {}}
+        self._where: dict[str, dict[int, str]] = {"item": {}, "pair": {}, "basket": {}}
+        self._changed: list[str] = []
 
     @classmethod
-    def open(cls, spark: SparkSession, path: str, **options: int) -> PairTable:
-        """The table at ``path`` as of its last complete update."""
-        t = cls(spark, path, **options)
-        gens = [int(g) for g in t._listed(f"{t.path}/manifest", "gen=")]
+    def open(cls, spark: SparkSession, path: str, buckets: int | None = None, seed: int | None = None) -> PairTable:
+        """The table at ``path`` as of its last complete update; bucket count and seed are the table's own.
+
+        Naming others raises. Where no update was ever completed, the table is new.
+        """
+        t = cls(spark, path, buckets, 11 if seed is None else seed)
+        gens = [int(g.removesuffix(".json")) for g in t._listed(f"{t.path}/manifest", "gen=") if g.endswith(".json")]
         if gens:
             t.generation = max(gens)
-            # at most three tables x buckets rows
-            for name, bucket, gen in spark.read.parquet(f"{t.path}/manifest/gen={t.generation}").collect():
-                t._where[name][bucket] = gen
+            state = json.loads(spark.read.text(t._manifest(t.generation), wholetext=True).first()[0])
+            for name, asked in (("buckets", buckets), ("seed", seed)):
+                if asked not in (None, state[name]):
+                    raise ValueError(f"the table has {name} {state[name]}, not {asked}")
+            t.buckets, t.seed, t._changed = state["buckets"], state["seed"], state["changed"]
+            t._where = {n: {int(b): g for b, g in w.items()} for n, w in state["where"].items()}
         return t
 
+    def _manifest(self, generation: int) -> str:
+        return f"{self.path}/manifest/gen={generation}.json"
+
+    def _publish(self) -> None:
+        """Write the manifest beside its place and rename it there."""
+        state = {"buckets": self.buckets, "seed": self.seed, "where": self._where, "changed": self._changed}
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        place, draft = path(self._manifest(self.generation)), path(f"{self.path}/manifest/draft-{uuid.uuid4().hex}")
+        fs = draft.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        out = fs.create(draft, True)
+        out.write(bytearray(json.dumps(state).encode()))
+        out.close()
+        if fs.exists(place) or not fs.rename(draft, place):
+            raise RuntimeError(f"another writer has completed generation {self.generation} of {self.path}")
+
     # -- deltas -----------------------------------------------------------------------------------
     def _code(self, item: Column) -> Column:
         return F.xxhash64(F.col("kind"), item, F.lit(self.seed))
@@ -88,47 +113,60 @@ class PairTable:
         return long.groupBy(self._code(F.col("item")).alias("code"), "kind", "item").agg(F.sum("sign").alias("n"))
 
     def _pairs(self, signed: DataFrame) -> DataFrame:
-        coded = signed.where("size(items) > 1").select("sign", F.transform("items", self._code).alias("codes"))
-
-        def left(d: DataFrame) -> DataFrame:
-            return d.select("sign", "codes", F.posexplode("codes").alias("i", "x")).where("i + 1 < size(codes)")
-
-        def right(d: DataFrame) -> DataFrame:
-            rest = d.select("sign", "x", F.explode(F.slice("codes", F.col("i") + 2, F.size("codes"))).alias("y"))
-            return rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "sign")
-
-        narrow = right(left(coded.where(f"size(codes) <= {WIDE}")))
-        wide = right(left(coded.where(f"size(codes) > {WIDE}")).repartition("x", "i"))
-        return narrow.unionByName(wide).groupBy("a", "b").agg(F.sum("sign").alias("n"))
+        coded = signed.where("size(items) > 1").select("b", "sign", F.transform("items", self._code).alias("codes"))
+        narrow = coded.where(f"size(codes) <= {WIDE}").select("sign", F.col("codes").alias("left"), F.lit(None).cast("array<long>").alias("right"))
+        cells = narrow.unionByName(self._cells(coded.where(f"size(codes) > {WIDE}")))
+        # within one block every item meets those after it, of two blocks every item of one meets all of the other
+        one = cells.select("sign", "left", "right", F.posexplode("left").alias("i", "x"))
+        mates = F.coalesce("right", F.slice("left", F.col("i") + 2, F.size("left")))
+        both = one.select("sign", "x", F.explode(mates).alias("y"))
+        return both.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.sum("sign").alias("n"))
+
+    @staticmethod
+    def _cells(wide: DataFrame) -> DataFrame:
+        """``(sign, left, right)``: every two blocks of a wide basket in a row of their own; one block with itself has
+        no right. A block travels alone to its cells, so no row is larger than two blocks."""
+        n = F.ceil(F.size("codes") / WIDE).cast("int")
+        parts = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.slice("codes", i * WIDE + 1, WIDE))
+        block = wide.select("b", "sign", n.alias("n"), F.posexplode(parts).alias("i", "block"))
+        spread = block.select("b", "sign", "i", "block", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("j"))
+        cell = [F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi")]
+        met = spread.groupBy("b", "sign", *cell).agg(F.sort_array(F.collect_list(F.struct("i", "block"))).alias("two"))
+        return met.select("sign", F.col("two")[0]["block"].alias("left"), F.get("two", F.lit(1))["block"].alias("right"))
 
     # -- state ------------------------------------------------------------------------------------
     def read(self, name: str, buckets: set[int] | None = None) -> DataFrame:
         """The current rows of ``item``, ``pair`` or ``basket`` (of some buckets only)."""
         where = {b: g for b, g in self._where[name].items() if buckets is None or b in buckets}
-        if not where:
+        return self._rows(name, [f"{self.path}/{name}/{g}/bucket={b}" for b, g in sorted(where.items())])
+
+    def _rows(self, name: str, paths: list[str]) -> DataFrame:
+        if not paths:
             return self.spark.createDataFrame([], self.SCHEMA[name])
-        paths = [f"{self.path}/{name}/gen={g}/bucket={b}" for b, g in sorted(where.items())]
         return self.spark.read.schema(self.SCHEMA[name]).parquet(*paths)
 
-    def _bucketed(self, df: DataFrame, path: str) -> set[int]:
-        bucket = F.pmod(F.hash(*self.KEY[path.rsplit("/", 2)[1].removeprefix("delta-")]), F.lit(self.buckets))
+    def _bucketed(self, name: str, df: DataFrame, path: str) -> set[int]:
+        bucket = F.pmod(F.hash(*self.KEY[name]), F.lit(self.buckets))
         df.where("n <> 0").withColumn("bucket", bucket).write.partitionBy("bucket").parquet(path)
         return {int(b) for b in self._listed(path, "bucket=")}
 
-    def _merge(self, name: str, delta: DataFrame) -> None:
-        key, gen = self.KEY[name], self.generation
-        path, touched = f"{self.path}/{name}/gen={gen}", set()
+    def _merge(self, name: str, delta: DataFrame, attempt: str) -> list[str]:
+        """Merge a delta into the touched buckets; the paths of the delta (of the new rows in the first load)."""
+        key, path, touched = self.KEY[name], f"{self.path}/{name}/{attempt}", set()
         if self._where[name]:
-            waiting = f"{self.path}/delta-{name}/gen={gen}"
-            touched = self._bucketed(delta, waiting)  # at most `buckets` numbers
+            waiting = f"{self.path}/delta-{name}/{attempt}"
+            touched = self._bucketed(name, delta, waiting)  # at most `buckets` numbers
             if not touched:
-                return
-            delta = self.spark.read.schema(self.SCHEMA[name]).parquet(*(f"{waiting}/bucket={b}" for b in touched))
-            delta = self.read(name, touched).unionByName(delta).groupBy(*key).agg(F.sum("n").alias("n"))
-        left = self._bucketed(delta, path)
-        self._where[name].update({b: gen for b in left})
+                return []
+            delta = self._rows(name, [f"{waiting}/bucket={b}" for b in sorted(touched)])
+            merged = self.read(name, touched).unionByName(delta).groupBy(*key).agg(F.sum("n").alias("n"))
+        else:
+            merged, waiting = delta, path
+        left = self._bucketed(name, merged, path)
+        self._where[name].update({b: attempt for b in left})
         for b in touched - left:
             self._where[name].pop(b, None)
+        return [f"{waiting}/bucket={b}" for b in sorted(touched or left)]
 
     def _listed(self, path: str, prefix: str) -> list[str]:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -144,35 +182,50 @@ class PairTable:
         parts = [d.select("kind", "items", F.lit(s).alias("sign")) for d, s in ((new, 1), (old, -1)) if d is not None]
         if not parts:
             raise ValueError("neither old nor new baskets")
-        # read three times: written once, in shared storage
-        signed = materialise(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]), "baskets")
+        # read three times: written once, in shared storage, with a number for every basket
+        signed = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        signed = materialise(signed.withColumn("b", F.monotonically_increasing_id()), "baskets")
+        before = self.generation, {k: dict(v) for k, v in self._where.items()}, self._changed
         self.generation += 1
-        before = {k: dict(v) for k, v in self._where.items()}
+        attempt = f"gen={self.generation}-{uuid.uuid4().hex[:12]}"
         try:
-            self._merge("basket", signed.groupBy("kind").agg(F.sum("sign").alias("n")))
-            self._merge("item", self._marginals(signed))
-            self._merge("pair", self._pairs(signed))
-            clash = self.read("item").groupBy("code").agg(F.count("*").alias("n")).where("n > 1")
-            if not clash.isEmpty():
+            self._merge("basket", signed.groupBy("kind").agg(F.sum("sign").alias("n")), attempt)
+            self._changed = self._merge("item", self._marginals(signed), attempt)
+            self._merge("pair", self._pairs(signed), attempt)
+            if not self._clashes().isEmpty():
                 raise ValueError("two items share a code; build the table with another seed")
+            self._publish()
         except Exception:
-            self._where = before
+            self.generation, self._where, self._changed = before
             raise
-        rows = [(t, b, g) for t, w in self._where.items() for b, g in w.items()]
-        self.spark.createDataFrame(rows, "name string, bucket int, gen int").coalesce(1).write.parquet(f"{self.path}/manifest/gen={self.generation}")
         return self
 
+    def _clashes(self) -> DataFrame:
+        """Codes of two items, among the codes that the update touched."""
+        items = self.read("item").select("code")
+        if self.generation > 1:
+            items = items.join(self._rows("item", self._changed).select("code").distinct(), "code", "left_semi")
+        return items.groupBy("code").agg(F.count("*").alias("n")).where("n > 1")
+
+    def changed_items(self) -> DataFrame:
+        """``(kind, item, n)``: the items whose records changed in the last update, with the signed change."""
+        return self._rows("item", self._changed).select("kind", "item", "n")
+
     # -- scores -----------------------------------------------------------------------------------
-    def scores(self, min_pair: int = 1, min_lift: int = 0, only: DataFrame | None = None) -> DataFrame:
+    def scores(self, min_pair: int = 1, min_lift: int = 0, only: DataFrame | None = None, affected: bool = False) -> DataFrame:
         """``(kind, item_a, item_b, n_a, n_b, n_ab, n_records, lift)`` with item_a < item_b by code point.
 
         ``lift`` is n_ab * n_records / (n_a * n_b), the ratio to chance; the threshold is decided in
-        exact decimals. ``only`` (kind, item) restricts to the pairs of affected items. Pairs meet
+        exact decimals. ``only`` (kind, item) restricts to the pairs of these items, ``affected`` to those of
+        the items that the last update changed: all pairs whose counts differ from before (a changed number of
+        records scales every lift of its kind alike, so it is no change of the pair). Pairs meet
         their items by a join on the code, broadcast only if the item table is under the session's
         threshold; the filter on the count reaches the scan.
         """
         items = self.read("item")
         pairs = self.read("pair").where(F.col("n") >= min_pair)
+        if affected:
+            only = self.changed_items()
         if only is not None:
             hit = only.select(self._code(F.col("item")).alias("code")).distinct()
             a, b = hit.withColumnRenamed("code", "a"), hit.withColumnRenamed("code", "b")

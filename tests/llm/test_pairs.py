@@ -45,7 +45,7 @@ def test_counts_equal_brute_force(spark):
 
 def test_wide_baskets_take_the_spread_way(spark, monkeypatch):
     monkeypatch.setattr(pairs, "WIDE", 3)
-    data = some(random.Random(2), 60)
+    data = some(random.Random(2), 60) + [("a", [f"i{k}" for k in range(11)])] * 2
     assert rows(pairs.PairTable(spark).update(frame(spark, data)).scores()) == expect(data)
 
 
@@ -58,8 +58,8 @@ def test_incremental_equals_rebuilt(spark):
     t.update(frame(spark, [*changed.values(), *more]), old)
     now = [changed.get(i, b) for i, b in enumerate(first)] + more
     assert rows(t.scores()) == expect(now)
-    again = pairs.PairTable.open(spark, t.path, buckets=5)
-    assert again.generation == 2 and rows(again.scores()) == expect(now)
+    again = pairs.PairTable.open(spark, t.path)
+    assert again.buckets == 5 and again.generation == 2 and rows(again.scores()) == expect(now)
     # everything taken back leaves nothing
     t.update(None, frame(spark, now))
     assert rows(t.scores()) == [] and t.read("item").count() == 0
@@ -73,6 +73,55 @@ def test_only_touched_buckets_are_rewritten(spark):
     assert len(changed) == 1
 
 
+@pytest.mark.parametrize("broken", ["basket", "item", "pair", "manifest"])
+def test_crash_at_each_write_then_reopen_and_retry(spark, monkeypatch, broken):
+    r = random.Random(8)
+    first, more = some(r, 40), some(r, 20)
+    path = pairs.PairTable(spark, buckets=4, seed=5).update(frame(spark, first)).path
+    t = pairs.PairTable.open(spark, path)
+    write, publish = pairs.PairTable._bucketed, pairs.PairTable._publish
+
+    def dies_after(self, name, df, where):
+        write(self, name, df, where)
+        if name == broken:
+            raise RuntimeError("driver lost")
+        return {int(b) for b in self._listed(where, "bucket=")}
+
+    def dies(self):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(pairs.PairTable, *(("_publish", dies) if broken == "manifest" else ("_bucketed", dies_after)))
+        with pytest.raises(RuntimeError):
+            t.update(frame(spark, more))
+    assert pairs.PairTable._publish is publish
+    again = pairs.PairTable.open(spark, path)
+    assert again.generation == 1 and rows(again.scores()) == expect(first)
+    assert rows(again.update(frame(spark, more)).scores()) == expect(first + more)
+    assert rows(pairs.PairTable.open(spark, path).scores()) == expect(first + more)
+
+
+def test_table_keeps_its_buckets_and_seed(spark):
+    data = some(random.Random(9), 30)
+    path = pairs.PairTable(spark, buckets=4, seed=3).update(frame(spark, data)).path
+    t = pairs.PairTable.open(spark, path)
+    assert (t.buckets, t.seed) == (4, 3)
+    assert rows(t.update(frame(spark, data)).scores()) == expect(data + data)
+    for odd in ({"buckets": 7}, {"seed": 4}):
+        with pytest.raises(ValueError):
+            pairs.PairTable.open(spark, path, **odd)
+
+
+def test_affected_pairs_follow_from_the_delta(spark):
+    data = [("a", ["x", "y", "z"]), ("a", ["x", "y"]), ("a", ["u", "v"])]
+    t = pairs.PairTable(spark).update(frame(spark, data))
+    assert {(r.item_a, r.item_b) for r in t.scores(affected=True).collect()} == {("x", "y"), ("x", "z"), ("y", "z"), ("u", "v")}
+    t.update(frame(spark, [("a", ["z", "w"])]))
+    t = pairs.PairTable.open(spark, t.path)
+    assert rows(t.changed_items()) == [("a", "w", 1), ("a", "z", 1)]
+    assert {(r.item_a, r.item_b) for r in t.scores(affected=True).collect()} == {("x", "z"), ("y", "z"), ("w", "z")}
+
+
 def test_affected_pairs_only(spark):
     data = [("a", ["x", "y", "z"]), ("a", ["x", "y"]), ("a", ["u", "v"])]
     t = pairs.PairTable(spark).update(frame(spark, data))
