@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from litweft.llm.linkage import cluster
-from litweft.llm.simjoin import edit_keys, similar_keys
+from litweft.llm.simjoin import cosines, edit_keys, similar_keys, vectors
 from litweft.session import materialise
 
 # Words around a name, particles of last names, words of organisations and their short forms.
@@ -187,26 +188,25 @@ def _oriented(p: DataFrame) -> DataFrame:
     return rest.unionByName(settled)
 
 
-def _canonical_given(forms: DataFrame, short_names: DataFrame) -> DataFrame:
-    """Adds ``name`` (the first given word in full and usual form, or null) and ``ini`` (initials in order).
+def _canonical_given(forms: DataFrame, short_names: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(forms, near words)``. Adds ``name`` (the first given word in full and usual form, or null) and ``ini`` (initials in order).
 
     Familiar forms become the full name of the reference list. A word one letter off a word that is at
-    least ten times as frequent is taken as its misspelling; candidates come from the n-gram join.
+    least ten times as frequent is taken as its misspelling; candidates share a deletion or their letters.
     """
     nick = short_names.select(F.lower("short_name").alias("_w"), F.lower("full_name").alias("_full"))
     nick = nick.groupBy("_w").agg(F.min("_full").alias("_full"))
     word = F.get(_full(F.col("given")), F.lit(0))
     base = forms.withColumn("_w", word)
     words = materialise(base.where("_w is not null and kind = 'p'").groupBy("_w").agg(F.count("*").alias("n")), "given")
-    pairs = similar_keys(words.select(F.col("_w").alias("key")), n=2, threshold=0.2, exact=F.abs(F.length("key_a") - F.length("key_b")) <= 1)
-    pairs = pairs.where(_near_sql(F.col("key_a"), F.col("key_b")))
+    pairs = materialise(edit_keys(words.select(F.col("_w").alias("key")), _near_sql(F.col("key_a"), F.col("key_b"))), "words")
     both = pairs.select(F.col("key_a").alias("_w"), F.col("key_b").alias("big")).unionByName(pairs.select(F.col("key_b").alias("_w"), F.col("key_a").alias("big")))
     fix = both.join(words, "_w").join(words.select(F.col("_w").alias("big"), F.col("n").alias("nb")), "big").where("nb >= 10 * n and length(_w) >= 3")
     fix = fix.join(nick.select("_w"), "_w", "left_anti").groupBy("_w").agg(F.max_by("big", F.struct("nb", "big")).alias("_fix"))
     named = base.join(fix, "_w", "left").withColumn("_v", F.coalesce("_fix", "_w")).drop("_w", "_fix")
     named = named.join(nick.withColumnRenamed("_w", "_v"), "_v", "left")
     ini = F.array_join(F.transform("given", lambda w: F.substring(w, 1, 1)), "")
-    return named.withColumn("name", F.coalesce("_full", "_v")).withColumn("said", F.col("_v")).withColumn("ini", ini).drop("_v", "_full")
+    return named.withColumn("name", F.coalesce("_full", "_v")).withColumn("said", F.col("_v")).withColumn("ini", ini).drop("_v", "_full"), both.select(F.col("_w").alias("said_a"), F.col("big").alias("said_b"))
 
 
 def _near_sql(a: Column, b: Column) -> Column:
@@ -222,6 +222,63 @@ def _decisive(df: DataFrame, group: str, choice: str, weight: str, factor: float
     return top.where(F.col("_m") >= factor * (F.col("_s") - F.col("_m"))).select(group, choice)
 
 
+#: Cosine from which the n-gram join looks for names; those one edit apart below it come by their deletions.
+COSINE = 0.6
+#: Names shorter than this are another name for many a person, so one edit in them needs more evidence.
+SHORT = 5
+_SHAPE = ["kind", "key", "name", "said", "ini", "types"]
+
+
+def _angular(cosine: Column) -> Column:
+    """Similarity of two names near each other, the mean of 1 for passing that check and of their vectors' angular
+    similarity: 1 for the same direction, 0.75 for no gram in common."""
+    return 1 - F.acos(F.least(cosine, F.lit(1.0))) / (2 * math.pi)
+
+
+def _given_agreement() -> Column:
+    """How far the given parts of forms a and b agree: -1 if further initials contradict each other, null if the
+    given names do not agree, less than 1 where an initial stands for a name or a name is misspelt."""
+    c = F.col
+    initial = lambda x, y: c(f"name_{x}").isNull() & c(f"name_{y}").isNotNull() & F.substring(f"ini_{x}", 1, 1).isin(F.substring(f"name_{y}", 1, 1), F.substring(f"said_{y}", 1, 1))
+    return (
+        F.when(c("kind_a") == "o", F.when(c("types_a") == c("types_b"), 1.0))
+        .when((F.length("ini_a") > 1) & (F.length("ini_b") > 1) & (F.substring("ini_a", 2, 1) != F.substring("ini_b", 2, 1)), -1.0)
+        .when(c("name_a") == c("name_b"), 1.0)
+        .when(c("name_a").isNull() & c("name_b").isNull(), F.when(F.substring("ini_a", 1, 1) == F.substring("ini_b", 1, 1), 0.95))
+        .when(initial("a", "b") | initial("b", "a"), 0.9)
+        .when((F.least(F.length("said_a"), F.length("said_b")) >= 4) & _near_sql(c("said_a"), c("said_b")) & (c("key_a") == c("key_b")), 0.85)
+    )
+
+
+def _first_letters() -> Column:
+    letters = F.array(F.substring("name", 1, 1), F.substring("said", 1, 1), F.substring("ini", 1, 1))
+    return F.array_distinct(F.filter(letters, lambda x: x.isNotNull() & (x != "")))
+
+
+def _meet(left: DataFrame, right: DataFrame, words: DataFrame) -> DataFrame:
+    """Forms under one key ``k`` whose given parts can agree: named forms by their name or a near one, forms with
+    initials only by the first letter, organisations by their kind words. Columns end in _a and _b; f_a <> f_b.
+
+    Forms of one key with different given names never meet, so a last name that many persons share gives
+    no pairs between persons.
+    """
+    letter = lambda df, s: df.withColumn("i1", F.explode(F.col(f"first_{s}")))
+    a, b = left.where("kind_a = 'p'"), right.where("kind_b = 'p'")
+    named_a, named_b, dots_a, dots_b = a.where("name_a is not null"), b.where("name_b is not null"), a.where("name_a is null"), b.where("name_b is null")
+    cols = [*left.columns, *(c for c in right.columns if c != "k")]
+    parts = [
+        named_a.join(named_b.withColumn("_n", F.col("name_b")), (named_a["name_a"] == F.col("_n")) & (named_a["k"] == named_b["k"])).drop(named_b["k"]),
+        named_a.where("key_a = k").join(words, "said_a").join(named_b.where("key_b = k").withColumnRenamed("said_b", "_s").withColumnRenamed("k", "_k"), (F.col("k") == F.col("_k")) & (F.col("said_b") == F.col("_s"))),
+        letter(dots_a, "a").join(letter(b, "b"), ["k", "i1"]),
+        letter(named_a, "a").join(letter(dots_b, "b"), ["k", "i1"]),
+        left.where("kind_a = 'o'").withColumn("_t", F.col("types_a")).join(right.where("kind_b = 'o'").withColumn("_t", F.col("types_b")), ["k", "_t"]),
+    ]
+    out = parts[0].select(*cols)
+    for p in parts[1:]:
+        out = out.unionByName(p.select(*cols))
+    return out.where("f_a <> f_b")
+
+
 def link_names(names: DataFrame, short_names: DataFrame, row_id: str = "row_id", first: str = "firstname", last: str = "lastname", threshold: float = 0.4) -> DataFrame:
     """``(id, cluster)`` of every spelling; both are smallest row ids (of the spelling, of the cluster).
 
@@ -231,12 +288,13 @@ def link_names(names: DataFrame, short_names: DataFrame, row_id: str = "row_id",
     1. parse (case, accents, titles, swapped or packed parts, initials, short words of organisations);
        which word is the given name is learnt from the collection;
     2. spellings with equal parts become one form, so that the pairs below are between forms;
-    3. last names and organisations' proper words are joined by cosine of weighted character n-grams
-       (no cap on partners) and by shared deletions and letters, which find every pair one edit apart,
-       followed by the exact check of one edit;
-    4. a form whose last name is one edit from that of a better attested compatible form also answers
-       to that name; forms that share a name and a first letter are scored: given names must agree, as
-       words, familiar forms, misspellings or initials, and so must further initials;
+    3. last names and organisations' proper words become vectors of weighted character trigrams and are joined by
+       their cosine (no cap on partners); the join by shared deletions and letters adds every pair one edit apart
+       whose cosine is lower, and names with a glued particle. Pairs must be one edit apart or differ by that particle;
+    4. a form whose last name is near that of a better attested compatible form also answers to that name; forms
+       that share a name and whose given names agree (words, familiar forms, misspellings, initials) get a
+       similarity: how far the given parts agree times the angular similarity of the last names' vectors. Last names
+       of under SHORT letters that differ need equal full given names and ten times the rows on one side;
     5. average linkage at ``threshold``; forms without a link count as 0, forms whose further initials
        contradict each other as -1;
     6. initials and last names alone that fit several persons join the one that clearly prevails in the
@@ -247,72 +305,62 @@ def link_names(names: DataFrame, short_names: DataFrame, row_id: str = "row_id",
     src = names.select(F.col(row_id).cast("long").alias("r"), F.col(first).cast("string").alias("firstname"), F.col(last).cast("string").alias("lastname"))
     spell = src.groupBy("firstname", "lastname").agg(F.min("r").alias("id"), F.count("*").alias("rows"))
     parts = materialise(parsed(spell).where("kind <> ''"), "parsed")
-    named = _canonical_given(_oriented(parts), short_names)
+    named, words = _canonical_given(_oriented(parts), short_names)
+    words = words.where("length(said_a) >= 4 and length(said_b) >= 4 and left(said_a, 1) = left(said_b, 1)")
     key = F.concat(F.array_join("sur", ""), F.when(F.col("kind") == "o", "#").otherwise(""))
     named = named.withColumn("key", key).where("key <> '' and key <> '#'")
-    shape = ["kind", "key", "name", "said", "ini", "types"]
-    named = named.withColumn("form", F.sha2(F.to_json(F.struct(*shape)), 256))
-    spelled = materialise(named.select("id", "rows", "form", *shape), "spelled")
-    forms = materialise(spelled.groupBy("form").agg(F.min("id").alias("f"), F.sum("rows").alias("rows"), *(F.first(c).alias(c) for c in shape)), "forms")
-
-    # 3: keys near each other
-    one_edit = _near_sql(F.col("key_a"), F.col("key_b")) & (F.least(F.length("key_a"), F.length("key_b")) >= 5)
-    longer, shorter = (F.when((F.length("key_a") > F.length("key_b")) == big, F.col("key_a")).otherwise(F.col("key_b")) for big in (True, False))
-    glued = F.endswith(longer, shorter) & F.expr("abs(length(key_a) - length(key_b))").between(2, 4) & F.substring(longer, F.lit(1), F.length(longer) - F.length(shorter)).isin(sorted(PARTICLES | {"dela", "vonder", "vander"}))
-    keys = forms.select("key").distinct()
-    close = similar_keys(keys, exact=one_edit | glued).select("key_a", "key_b").unionByName(edit_keys(keys.where("length(key) >= 5"), one_edit)).distinct()
-    close = materialise(close.select("key_a", "key_b").unionByName(close.select(F.col("key_b").alias("key_a"), F.col("key_a").alias("key_b"))), "close")
-
-    # blocks: the first letters a form may begin with
-    i1 = F.when(F.col("kind") == "o", F.array(F.lit(""))).otherwise(F.array_distinct(F.filter(F.array(F.substring("name", 1, 1), F.substring("said", 1, 1), F.substring("ini", 1, 1)), lambda x: x.isNotNull() & (x != ""))))
-    block = materialise(forms.select("f", "rows", *shape, F.explode(i1).alias("i1")), "blocks")
-    bare = forms.where("kind = 'p' and ini = ''")
+    named = named.withColumn("form", F.sha2(F.to_json(F.struct(*_SHAPE)), 256))
+    spelled = materialise(named.select("id", "rows", "form", *_SHAPE), "spelled")
+    merged = spelled.groupBy("form").agg(F.min("id").alias("f"), F.sum("rows").alias("rows"), *(F.first(c).alias(c) for c in _SHAPE))
+    forms = materialise(merged.withColumn("first", _first_letters()), "forms")
+    close = _close_keys(forms.select("key").distinct())
 
     def side(df: DataFrame, s: str, *more: str) -> DataFrame:
-        return df.select(*(F.col(c).alias(f"{c}_{s}") for c in ("f", "rows", *shape, *more)), "i1")
-
-    said = F.col
-    initial = lambda x, y: said(f"name_{x}").isNull() & said(f"name_{y}").isNotNull() & F.substring(f"ini_{x}", 1, 1).isin(F.substring(f"name_{y}", 1, 1), F.substring(f"said_{y}", 1, 1))
-    given = (
-        F.when(said("kind_a") == "o", F.when(said("types_a") == said("types_b"), 1.0))
-        .when((F.length("ini_a") > 1) & (F.length("ini_b") > 1) & (F.substring("ini_a", 2, 1) != F.substring("ini_b", 2, 1)), -1.0)
-        .when(said("name_a") == said("name_b"), 1.0)
-        .when(said("name_a").isNull() & said("name_b").isNull(), F.when(F.substring("ini_a", 1, 1) == F.substring("ini_b", 1, 1), 0.95))
-        .when(initial("a", "b") | initial("b", "a"), 0.9)
-        .when((F.least(F.length("said_a"), F.length("said_b")) >= 4) & _near_sql(said("said_a"), said("said_b")) & (said("key_a") == said("key_b")), 0.85)
-    )
-
-    # 4: better attested names within one edit, among compatible forms
-    a = side(block, "a").join(close, "key_a")
-    fit = materialise(a.join(side(block, "b"), ["key_b", "i1"]).where("kind_a = kind_b").where(given > 0), "fit")
-    support = block.groupBy("kind", "key", "i1").agg(F.sum("rows").alias("support"))
-    own = fit.join(support.select(F.col("kind").alias("kind_a"), F.col("key").alias("key_a"), "i1", F.col("support").alias("_own")), ["kind_a", "key_a", "i1"])
-    best = own.groupBy("f_a", "key_a", "key_b").agg(F.sum("rows_b").alias("_fit"), F.max("_own").alias("_own"))
-    snap = best.where("_fit > _own or (_fit = _own and key_b < key_a)").groupBy("f_a").agg(F.max_by("key_b", F.struct("_fit", "key_b")).alias("also")).withColumnRenamed("f_a", "f")
-    keyed = block.join(snap, "f", "left").select("*", F.explode(F.array_distinct(F.filter(F.array(F.col("key"), F.col("also")), lambda x: x.isNotNull()))).alias("k"))
-    keyed = materialise(keyed, "keyed")
-    pair = side(keyed, "a", "k").withColumnRenamed("k_a", "k").join(side(keyed, "b", "k").withColumnRenamed("k_b", "k"), ["k", "i1"]).where("f_a < f_b and kind_a = kind_b")
+        return df.select(*(F.col(c).alias(f"{c}_{s}") for c in ("f", "rows", "first", *_SHAPE, *more)), "k")
+
+    agree = _given_agreement()
+
+    # 4: better attested names near by, among compatible forms
+    a = side(forms.withColumnRenamed("key", "key_a").join(close, "key_a").withColumnsRenamed({"key_a": "key", "key_b": "k"}), "a", "near")
+    fit = _meet(a, side(forms.withColumn("k", F.col("key")), "b"), words).where(agree > 0).where("kind_a = kind_b")
+    sizes = (F.greatest("rows_a", "rows_b") >= 10 * F.least("rows_a", "rows_b")) & (F.col("name_a") == F.col("name_b"))
+    fit = materialise(fit.where((F.least(F.length("key_a"), F.length("key_b")) >= SHORT) | sizes), "fit")
+    support = forms.select("kind", "key", "rows", F.explode(F.when(F.col("kind") == "o", F.array(F.lit(""))).otherwise(F.col("first"))).alias("i1"))
+    support = materialise(support.groupBy("kind", "key", "i1").agg(F.sum("rows").alias("_own")), "support")
+    own = fit.select("f_a", "kind_a", "key_a", "k", "near_a", "rows_b", F.explode(F.when(F.col("kind_a") == "o", F.array(F.lit(""))).otherwise(F.array_intersect("first_a", "first_b"))).alias("i1"))
+    own = own.join(support.withColumnsRenamed({"kind": "kind_a", "key": "key_a"}), ["kind_a", "key_a", "i1"])
+    best = own.groupBy("f_a", "key_a", "k", "near_a").agg(F.sum("rows_b").alias("_fit"), F.max("_own").alias("_own"))
+    best = best.where("_fit > _own or (_fit = _own and k < key_a)")
+    snap = best.groupBy("f_a").agg(F.max_by(F.struct("k", F.col("near_a").alias("near")), F.struct("_fit", "k")).alias("also")).withColumnRenamed("f_a", "f")
+    names_of = F.array(F.struct(F.col("key").alias("k"), F.lit(1.0).alias("near")), F.col("also"))
+    keyed = forms.join(snap, "f", "left").withColumn("_k", F.explode(F.filter(names_of, lambda x: x.isNotNull())))
+    keyed = materialise(keyed.withColumn("k", F.col("_k.k")).withColumn("near", F.col("_k.near")).drop("_k", "also"), "keyed")
     # a misspelt last name has a right one behind it: compare given names as if the last names were equal
-    exactness = F.when(said("key_a") == said("key_b"), 1.0).when((said("key_a") == said("k")) | (said("key_b") == said("k")), 0.9).otherwise(0.8)
-    pair = pair.withColumn("sim", given * exactness).where("sim is not null")
-    pair = pair.drop("k").unionByName(fit.where("f_a < f_b").withColumn("sim", given * 0.8))
-    pair = pair.groupBy("f_a", "f_b").agg(F.when(F.min("sim") < 0, F.min("sim")).otherwise(F.max("sim")).alias("sim"), *(F.first(c).alias(c) for c in ("name_a", "name_b", "rows_a", "rows_b", "kind_a")))
-    pair = materialise(pair, "pairs")
+    last_names = F.when(F.col("key_a") == F.col("key_b"), 1.0).otherwise(F.col("near_a") * F.col("near_b"))
+    pair = _meet(side(keyed, "a", "near"), side(keyed, "b", "near"), words).withColumn("sim", agree * last_names)
+    pair = pair.drop("k").unionByName(fit.drop("k").withColumn("near_b", F.lit(1.0)).withColumn("sim", agree * F.col("near_a"))).where("sim is not null and f_a < f_b")
+    kept = [F.first(c).alias(c) for c in ("name_a", "name_b", "rows_a", "rows_b", "kind_a")]
+    pair = materialise(pair.groupBy("f_a", "f_b").agg(F.when(F.min("sim") < 0, F.min("sim")).otherwise(F.max("sim")).alias("sim"), *kept), "pairs")
 
     # 6a: initials that fit several persons
-    half = lambda x, y: pair.where("sim > 0").where(f"name_{x} is null and name_{y} is not null and kind_a = 'p'").select(F.col(f"f_{x}").alias("f"), F.col(f"name_{y}").alias("to"), F.col(f"rows_{y}").alias("w"))
-    asked = half("a", "b").unionByName(half("b", "a"))
-    choice = materialise(_decisive(asked, "f", "to", "w"), "choice")
+    def half(x: str, y: str) -> DataFrame:
+        some = pair.where(f"sim > 0 and name_{x} is null and name_{y} is not null and kind_a = 'p'")
+        return some.select(F.col(f"f_{x}").alias("f"), F.col(f"name_{y}").alias("to"), F.col(f"rows_{y}").alias("w"))
+
+    choice = materialise(_decisive(half("a", "b").unionByName(half("b", "a")), "f", "to", "w"), "choice")
     for x, y in (("a", "b"), ("b", "a")):
         pair = pair.join(choice.select(F.col("f").alias(f"f_{x}"), F.col("to").alias(f"_to_{x}")), f"f_{x}", "left")
         pair = pair.where(f"not (kind_a = 'p' and name_{x} is null and name_{y} is not null and not (_to_{x} <=> name_{y}))")
     found = materialise(cluster(pair.select(F.col("f_a").alias("a"), F.col("f_b").alias("b"), "sim"), threshold), "clusters")
-    placed = materialise(forms.select("f", "form", "kind", "key", "ini", "rows").join(found.withColumnRenamed("id", "f"), "f", "left").withColumn("cluster", F.coalesce("cluster", "f")), "placed")
+    placed = forms.select("f", "form", "kind", "key", "ini", "rows").join(found.withColumnRenamed("id", "f"), "f", "left")
+    placed = materialise(placed.withColumn("cluster", F.coalesce("cluster", "f")), "placed")
 
     # 6b: last names alone
+    bare = forms.where("kind = 'p' and ini = ''")
     homes = placed.where("kind = 'p' and ini <> ''").groupBy("key", "cluster").agg(F.sum("rows").alias("w"))
     exact = bare.select("f", "key").join(homes, "key").select("f", "cluster", "w")
-    loose = bare.select("f", F.col("key").alias("key_a")).join(close, "key_a").join(homes.withColumnRenamed("key", "key_b"), "key_b").select("f", "cluster", "w")
+    long_ = close.where(F.least(F.length("key_a"), F.length("key_b")) >= SHORT)
+    loose = bare.select("f", F.col("key").alias("key_a")).join(long_, "key_a").join(homes.withColumnRenamed("key", "key_b"), "key_b").select("f", "cluster", "w")
     loose = loose.join(exact.select("f").distinct(), "f", "left_anti")
     home = _decisive(exact.unionByName(loose), "f", "cluster", "w").withColumnRenamed("cluster", "home")
     final = placed.join(home, "f", "left").select("form", F.coalesce("home", "cluster").alias("cluster"))
@@ -321,6 +369,22 @@ def link_names(names: DataFrame, short_names: DataFrame, row_id: str = "row_id",
     return out.join(smallest, "cluster").select("id", F.col("least").alias("cluster"))
 
 
+def _close_keys(keys: DataFrame) -> DataFrame:
+    """``(key_a, key_b, near)``, both directions: keys one edit apart or alike but for a glued particle, with the
+    angular similarity of their trigram vectors."""
+    a, b = F.col("key_a"), F.col("key_b")
+    longer, shorter = (F.when((F.length(a) > F.length(b)) == big, a).otherwise(b) for big in (True, False))
+    glue = sorted(PARTICLES | {"dela", "vonder", "vander"})
+    glued = F.endswith(longer, shorter) & (F.length(shorter) >= SHORT - 1) & F.substring(longer, F.lit(1), F.length(longer) - F.length(shorter)).isin(glue)
+    alike = _near_sql(a, b) | glued
+    loose = F.array(*(F.when(F.startswith("key", F.lit(g)) & (F.length("key") > len(g)), F.substring("key", len(g) + 1, 1 << 20)) for g in glue))
+    vec = vectors(keys)
+    found = similar_keys(vec, COSINE, alike)
+    rest = edit_keys(keys, alike, loose).join(found, ["key_a", "key_b"], "left_anti")
+    close = found.unionByName(cosines(rest, vec)).select("key_a", "key_b", _angular(F.col("cosine")).alias("near"))
+    return materialise(close.unionByName(close.select(b.alias("key_a"), a.alias("key_b"), "near")), "close")
+
+
 def linked_pairs(links: DataFrame) -> DataFrame:
     """``(row_id_a, row_id_b)``, a < b: all pairs of spellings of one cluster."""
     a, b = links.select("cluster", F.col("id").alias("row_id_a")), links.select("cluster", F.col("id").alias("row_id_b"))

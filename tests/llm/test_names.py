@@ -23,15 +23,15 @@ def test_similar_keys_equal_brute_force(spark):
     w = {g: max(-math.log(n / 1000 + 0.001), 0.1) for g, n in df.items()}
     norm = {k: math.sqrt(sum(w[g] ** 2 for g in s)) for k, s in grams.items()}
     want = {(a, b) for a, b in combinations(keys, 2) if sum(w[g] ** 2 for g in grams[a] & grams[b]) / norm[a] / norm[b] >= 0.6}
-    got = simjoin.similar_keys(spark.createDataFrame([(k,) for k in keys], "key string"), n=3, threshold=0.6)
+    got = simjoin.similar_keys(simjoin.vectors(spark.createDataFrame([(k,) for k in keys], "key string")), 0.6)
     assert {(r_.key_a, r_.key_b) for r_ in got.collect()} == want
 
 
 def test_split_posting_lists_lose_nothing(spark, monkeypatch):
     keys = spark.createDataFrame([(f"common{i:03d}",) for i in range(60)], "key string")
-    a = rows(simjoin.similar_keys(keys, n=3, threshold=0.1).select("key_a", "key_b"))
+    a = rows(simjoin.similar_keys(simjoin.vectors(keys), 0.1).select("key_a", "key_b"))
     monkeypatch.setattr(simjoin, "POSTINGS", 5)
-    assert rows(simjoin.similar_keys(keys, n=3, threshold=0.1).select("key_a", "key_b")) == a
+    assert rows(simjoin.similar_keys(simjoin.vectors(keys), 0.1).select("key_a", "key_b")) == a
 
 
 def test_components_equal_union_find(spark):
