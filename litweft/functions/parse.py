@@ -27,6 +27,13 @@ class Parse:
     def __len__(self) -> int:
         return len(self.text)
 
+    def cut(self, start: int, end: int) -> Parse:
+        """The parse of the characters from ``start`` to ``end``: tokens inside, moved by ``start``; a token whose head
+        lies outside becomes a root."""
+        inside = [k for k in range(len(self)) if start <= self.idx[k] and self.idx[k] + len(self.text[k]) <= end]
+        at = {k: i for i, k in enumerate(inside)}
+        return Parse({"i": at[k], "idx": self.idx[k] - start, "text": self.text[k], "pos": self.pos[k], "dep": self.dep[k], "head": at.get(self.head[k], at[k])} for k in inside)
+
     @cached_property
     def children(self) -> list[list[int]]:
         kids: list[list[int]] = [[] for _ in self.text]

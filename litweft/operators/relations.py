@@ -95,6 +95,15 @@ def fragments(sentences: DataFrame) -> DataFrame:
     return ex.select("sent_id", "pos", F.col("sp.s").alias("start"), slice0(F.col("text"), F.col("sp.s"), F.col("sp.e")).alias("fragment")).where("length(fragment) > 0")
 
 
+_MARK = re.compile("[:;] [A-Za-z0-9]")
+
+
+def cut_spans(text: str) -> list[tuple[int, int]]:
+    """Half-open spans of a sentence's fragments, by the rule of ``fragments``."""
+    cuts = [m.start() for m in _MARK.finditer(text) if not {"(", ")"} <= set(text[max(0, m.start() - 10) : m.end() + 10])]
+    return [(s, e) for s, e in zip([0, *(c + 1 for c in cuts)], [*cuts, len(text)]) if s < e]
+
+
 def stem_classes(words: DataFrame, stems: DataFrame) -> DataFrame:
     """``(word, class, found)``: the class of the first stem, in order, that a word begins with.
 
@@ -129,15 +138,18 @@ def phrase_rules(mir_first: Column, text: Column, before: Column, between: Colum
     return out
 
 
+def exact_context_patterns(table: Sequence[tuple[str, int, int]]) -> list[tuple[str, int]]:
+    """(pattern, window) of the phrases that allow no error; all are regular expressions that Java, RE2 and Python read alike."""
+    return [(p, n) for p, k, n in table if k == 0]
+
+
 def context_reject_exact(text: Column, start: Column, end: Column) -> Column:
-    """Does an exact phrase right after or before the gene show that it is something else? JVM-side."""
+    """Does an exact phrase or pattern right after or before the gene show that it is something else? JVM-side."""
     bad = F.lit(False)
-    for p, k, n in AFTER_GENE:
-        if k == 0 and p.replace("-", "").replace(" ", "").isalpha():
-            bad = bad | F.contains(slice0(text, start + 1, end + 1 + n), F.lit(p))
-    for p, k, n in BEFORE_GENE:
-        if k == 0 and p.replace("-", "").replace(" ", "").isalpha():
-            bad = bad | F.contains(slice0(text, F.greatest(start - 1 - n, F.lit(0)), start), F.lit(p))
+    for p, n in exact_context_patterns(AFTER_GENE):
+        bad = bad | F.rlike(slice0(text, start + 1, end + 1 + n), F.lit(p))
+    for p, n in exact_context_patterns(BEFORE_GENE):
+        bad = bad | F.rlike(slice0(text, F.greatest(start - 1 - n, F.lit(0)), start), F.lit(p))
     return bad
 
 
@@ -646,47 +658,100 @@ class Classifier:
         return "NEU", "MIR_GENE" if any(word(mir - j) in ("by", "with") for j in (1, 2, 3)) else "GENE_MIR", "return", "return"
 
 
-RELATION_SCHEMA = "accepted boolean, conj boolean, sdp boolean, compartment boolean, context boolean, passive boolean, negated boolean, regulation string, direction string, rule string, rule_group string"
+RELATION_SCHEMA = (
+    "accepted boolean, conj boolean, sdp boolean, compartment boolean, context boolean, entity boolean, fragment boolean, "
+    "passive boolean, negated boolean, regulation string, direction string, rule string, rule_group string"
+)
+ENTITIES = "array<struct<start:int,end:int,label:string>>"
 
 
-def relations(pairs: DataFrame, stems: Sequence[tuple[str, str]], checks: Sequence[str] = ("conj", "sdp", "compartment", "context"), off: Sequence[str] = (), keep: Sequence[str] = ("sent_id",)) -> DataFrame:
+def relations(
+    pairs: DataFrame, stems: Sequence[tuple[str, str]], checks: Sequence[str] = ("conj", "sdp", "compartment", "context"), off: Sequence[str] = (),
+    keep: Sequence[str] = ("sent_id",), entities: str | None = None,
+) -> DataFrame:
     """Pairs (text, tokens, start_a, end_a, start_b, end_b; a the miRNA) with their checks and class.
 
-    ``stems`` is the ordered lexicon of (class, stem). ``accepted`` is true if all of ``checks`` hold. Of several tokens in a span the last counts; a span
-    without a token, or a null parse, gives nulls and is not accepted. The sentence is parsed into a tree
-    once per row; rows of one sentence in a batch share it.
+    ``stems`` is the ordered lexicon of (class, stem). ``accepted`` is true if all of ``checks`` hold and the sentence
+    passes the fragment check; a check that is none of CHECKS raises. ``entities`` names a column (ENTITIES, see
+    ``with_entities``) of recognised entities for the check 'entity', which raises without it; the column ``entity`` is
+    null where it is not given.
+
+    A sentence with ': ' or '; ' is cut into ``fragments``: the first fragment that holds both spans, and a token of each,
+    is judged alone, by the parse cut to it (a token whose head lies outside becomes a root). Where no fragment
+    does, the sentence is judged whole, and ``fragment`` is false if it has more than two fragments and no ': '.
+
+    Of several tokens in a span the last counts; a span without a token, or a null parse or text, gives nulls and is not
+    accepted. The sentence is parsed into a tree once per row; rows of one sentence in a batch share it.
     """
+    use = tuple(checks)
+    if unknown := set(use) - set(CHECKS):
+        raise ValueError(f"unknown checks: {', '.join(sorted(unknown))}")
+    if "entity" in use and entities is None:
+        raise ValueError("the check 'entity' needs a column of recognised entities")
     cols = ["text", "tokens", "start_a", "end_a", "start_b", "end_b"]
-    src = pairs.select(*keep, *cols)
+    named = F.col(entities) if entities else F.lit(None).cast(ENTITIES)
+    src = pairs.select(*keep, *cols, named.alias("_entities"))
     names = [c.split()[0] for c in RELATION_SCHEMA.split(", ")]
     kinds = [pa.bool_() if c.endswith("boolean") else pa.string() for c in RELATION_SCHEMA.split(", ")]
     head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[: len(keep)])
     order: dict[str, str] = {}
     for cls, stem in stems:
         order.setdefault(stem, cls)  # the first class of a stem counts
-    use = tuple(checks)
+    known = entities is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decide = Classifier(order, off)
         for b in batches:
             rows, last = [], (None, None)
-            for r in zip(*(b.column(len(keep) + i).to_pylist() for i in range(len(cols)))):
-                text, tokens, sa, ea, sb, eb = r
+            for r in zip(*(b.column(len(keep) + i).to_pylist() for i in range(len(cols) + 1))):
+                text, tokens, sa, ea, sb, eb, ents = r
                 if last[0] is not tokens and last[0] != tokens:
                     last = (tokens, Parse(tokens) if tokens else None)
-                rows.append(_judge(decide, last[1], text, (sa, ea), (sb, eb), use))
+                rows.append(_judge(decide, last[1], text, (sa, ea), (sb, eb), use, (ents or []) if known else None))
             out = list(zip(*rows)) if rows else [[] for _ in names]
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], *(pa.array(list(c), t) for c, t in zip(out, kinds))], names=[*keep, *names])
 
     return src.mapInArrow(run, f"{head}, {RELATION_SCHEMA}")
 
 
-def _judge(decide: Classifier, p: Parse | None, text: str, mir: tuple[int, int], gene: tuple[int, int], use: tuple[str, ...]) -> tuple:
-    m = p.token_at(*mir) if p else None
-    g = p.token_at(*gene) if p else None
+def with_entities(pairs: DataFrame, named: DataFrame, keys: Sequence[str] = ("sent_id",), column: str = "entities") -> DataFrame:
+    """Adds the array ``column`` of a sentence's recognised entities, of ``named`` (keys, start, end, label); null where it has none."""
+    per = named.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), "label"))).alias(column))
+    return pairs.join(per, list(keys), "left")
+
+
+def _vetoed(entities: Sequence[Mapping], start: int, end: int) -> bool:
+    """Is the gene at ``start`` to ``end`` a recognised cell or cancer, or does an organism begin there?"""
+    touching = [e for e in entities if e["start"] < end and start < e["end"]]
+    return any(e["label"] in ("CELL", "CANCER") or (e["label"] == "ORGANISM" and e["start"] == start) for e in touching)
+
+
+_NOTHING = (False, *[None] * 12)
+
+
+def _judge(decide: Classifier, p: Parse | None, text: str | None, mir: tuple[int, int], gene: tuple[int, int], use: tuple[str, ...], entities: Sequence[Mapping] | None = None) -> tuple:
+    if p is None or text is None or None in mir + gene:
+        return _NOTHING
+    spans = cut_spans(text) if ": " in text or "; " in text else [(0, len(text))]
+    if len(spans) > 1:
+        for s, e in spans:
+            if s <= mir[0] <= mir[1] <= e and s <= gene[0] <= gene[1] <= e:
+                part = p.cut(s, e)
+                moved = [{**x, "start": x["start"] - s, "end": x["end"] - s} for x in entities] if entities is not None else None
+                got = _judged(decide, part, text[s:e], (mir[0] - s, mir[1] - s), (gene[0] - s, gene[1] - s), use, moved, True)
+                if got is not None:
+                    return got
+    return _judged(decide, p, text, mir, gene, use, entities, ": " in text or len(spans) <= 2) or _NOTHING
+
+
+def _judged(decide: Classifier, p: Parse, text: str, mir: tuple[int, int], gene: tuple[int, int], use: tuple[str, ...], entities: Sequence[Mapping] | None, fragment: bool) -> tuple | None:
+    """The columns of RELATION_SCHEMA; None if a span has no token."""
+    m, g = p.token_at(*mir), p.token_at(*gene)
     if m is None or g is None:
-        return (False, *[None] * 10)
+        return None
     ok = {"conj": coordination_ok(p, m, g), "compartment": common_compartment(p, m, g) is not None, "context": context_ok(text, mir, gene)}
     ok["sdp"], passive, negated = path_check(p, m, g)
+    ok["entity"] = None if entities is None else not _vetoed(entities, p.idx[g], p.idx[g] + len(p.text[g]))
     v = decide(p, m, g)
-    return (all(ok.get(c, True) for c in use), ok["conj"], ok["sdp"], ok["compartment"], ok["context"], passive, negated, v.regulation, v.direction, v.rule, v.group)
+    accepted = fragment and all(ok[c] for c in use)
+    return (accepted, ok["conj"], ok["sdp"], ok["compartment"], ok["context"], ok["entity"], fragment, passive, negated, v.regulation, v.direction, v.rule, v.group)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from litweft.functions import mirna, synonyms
 from litweft.functions import text as tx
-from litweft.functions.parse import Parse
+from litweft.functions.parse import TOKEN, Parse
 from litweft.operators import cooccur, matcher, relations
 
 S1 = "hsa-miR 155 is possibly contained in this sentence of hsa-miR-155, in contrast to HSA----MIR-155."
@@ -189,6 +189,79 @@ def test_relations_frame(spark):
     assert rows(relations.entity_ok(cand, named)) == [("3", 5, 9)]
 
 
+def shift(tokens, by):
+    return [{**t, "i": t["i"] + by[0], "idx": t["idx"] + by[1], "head": t["head"] + by[0]} for t in tokens]
+
+
+def joined(mark, *parts):
+    """(text, tokens) of parses one after the other with a mark token between."""
+    text, tokens = "", []
+    for k, words in enumerate(parts):
+        if k:
+            tokens.append({"i": len(tokens), "idx": len(text), "text": mark.strip(), "pos": "PUNCT", "dep": "punct", "head": len(tokens)})
+            text += mark
+        tokens += shift(words, (len(tokens), len(text)))
+        text += " ".join(w["text"] for w in words)
+    return text, tokens
+
+
+def judged(spark, data, **kw):
+    schema = f"sent_id string, text string, tokens {TOKEN}, start_a int, end_a int, start_b int, end_b int, ents {relations.ENTITIES}"
+    return {r.sent_id: r for r in relations.relations(spark.createDataFrame(data, schema), STEMS, **kw).collect()}
+
+
+def at(text, word):
+    return text.index(word), text.index(word) + len(word)
+
+
+def test_the_fragment_of_both_entities_is_judged_alone(spark):
+    alone = judged(spark, [("x", "miR-1 inhibits ABC expression", ACTIVE, 0, 5, 15, 18, None)])["x"]
+    other = tree(("adenomas", "NOUN", "nsubj", 1), ("rise", "VERB", "ROOT", 1))
+    two, two_t = joined("; ", other, ACTIVE)
+    left, right = tree(("miR-1", "PROPN", "nsubj", 1), ("inhibits", "VERB", "ROOT", 1)), tree(("ABC", "PROPN", "compound", 1), ("expression", "NOUN", "ROOT", 1))
+    apart, apart_t = joined("; ", left, other, right)
+    colon, colon_t = joined(": ", left, other, right)
+    data = [
+        ("two", two, two_t, *at(two, "miR-1"), *at(two, "ABC"), None), ("apart", apart, apart_t, *at(apart, "miR-1"), *at(apart, "ABC"), None),
+        ("colon", colon, colon_t, *at(colon, "miR-1"), *at(colon, "ABC"), None), ("null", None, ACTIVE, 0, 5, 15, 18, None), ("nospan", "miR-1 inhibits ABC", ACTIVE, 0, 5, None, None, None),
+    ]
+    got = judged(spark, data, checks=())
+    assert got["two"][1:] == alone[1:] and got["two"].fragment
+    # three fragments, no common one: rejected, unless a ': ' cut them
+    assert got["apart"].fragment is False and not got["apart"].accepted
+    assert got["colon"].fragment is True and got["colon"].accepted
+    assert not got["null"].accepted and not got["nospan"].accepted and got["null"].rule is None
+
+
+def test_cut_spans_equal_the_frame(spark):
+    texts = ["One: two; three", "a (x: y) b", "plain", "(a): b; c; D", "x; é; 1: ", ": a", "a; b" * 30, "tail; "]
+    got = relations.fragments(spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "sent_id string, text string"))
+    want = sorted((str(i), t[s:e]) for i, t in enumerate(texts) for s, e in relations.cut_spans(t))
+    assert sorted((r.sent_id, r.fragment) for r in got.collect()) == want
+
+
+def test_entity_veto_and_unknown_checks(spark):
+    text = "miR-1 inhibits ABC expression"
+    case = lambda i, *ents: (i, text, ACTIVE, 0, 5, 15, 18, [dict(zip(("start", "end", "label"), e)) for e in ents])
+    data = [case("ok", (0, 5, "CELL"), (10, 20, "ORGANISM")), case("cell", (14, 16, "CELL")), case("cancer", (17, 40, "CANCER")), case("organism", (15, 16, "ORGANISM")), case("none")]
+    got = judged(spark, data, checks=relations.CHECKS, entities="ents")
+    assert {k: (r.accepted, r.entity) for k, r in got.items()} == {"ok": (True, True), "cell": (False, False), "cancer": (False, False), "organism": (False, False), "none": (True, True)}
+    assert judged(spark, data)["cell"].entity is None and judged(spark, data)["cell"].accepted
+    for odd in (("nonsense",), ("conj", "entity")):
+        with pytest.raises(ValueError):
+            judged(spark, data, checks=odd)
+    named = spark.createDataFrame([("1", 4, 9, "CELL"), ("1", 0, 2, "X")], "sent_id string, start long, end long, label string")
+    both = relations.with_entities(spark.createDataFrame([("1",), ("2",)], "sent_id string"), named)
+    assert rows(both) == [("1", ((0, 2, "X"), (4, 9, "CELL"))), ("2", None)]
+
+
+def test_exact_context_takes_patterns(spark):
+    texts = {"ABC1 rs123 is": True, "see Fig. 2 ABC1 x": True, "ABC1+ cells": True, "ABC1- cells": True, "ABC1 rises": False}
+    df = spark.createDataFrame([(t, t.index("ABC1")) for t in texts], "text string, s int")
+    got = df.select("text", relations.context_reject_exact(F.col("text"), F.col("s"), F.col("s") + 4).alias("bad")).collect()
+    assert {r.text: r.bad for r in got} == texts
+
+
 def test_fragments(spark):
     s = spark.createDataFrame([("1", "One: two; three"), ("2", "a (x: y) b"), ("3", "plain"), ("4", "")], "sent_id string, text string")
     assert rows(relations.fragments(s)) == [("1", 0, 0, "One"), ("1", 1, 4, " two"), ("1", 2, 9, " three"), ("2", 0, 0, "a (x: y) b"), ("3", 0, 0, "plain")]
