@@ -84,9 +84,9 @@ def serving_rows(cons: DataFrame) -> DataFrame:
     )
 
 
-def interaction_documents(cons: DataFrame) -> DataFrame:
-    """One row per (pair, interaction, document)."""
-    return cons.select(*PAIR, F.concat_ws(";", "direction", "regulation").alias("interaction"), F.explode("evidence_documents").alias("doc_id"))
+def interaction_documents(ev: DataFrame) -> DataFrame:
+    """One row per (pair, interaction, document) of evidence rows; no lists in between, so no group is brought together."""
+    return ev.select(*PAIR, F.concat_ws(";", "direction", "regulation").alias("interaction"), "doc_id").where("doc_id is not null").distinct()
 
 
 def pack_evidence(df: DataFrame) -> DataFrame:

@@ -2,21 +2,34 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from litweft.session import materialise
 
+#: Graphs of up to so many distinct edges are walked inside the tasks that hold the seeds, larger ones level by level.
+LOCAL_EDGES = 200_000
+
 
 def closure(seeds: DataFrame, edges: DataFrame, max_depth: int | None = None, up: bool = False, include_self: bool = False) -> DataFrame:
     """``(seed, node, level)``: everything below (or above) every seed, at its shortest distance.
 
-    Semi-naive iteration: each round joins only the frontier with the edges and drops what is known, so
-    cycles and diamonds end; the frontier is written to shared storage, which keeps the plan short.
     ``seeds`` has a column ``node``; ``edges`` has ``child`` and ``parent``. Terms unknown to the edges
-    have only themselves.
+    have only themselves. A seed met again is not below itself.
+
+    A graph of at most LOCAL_EDGES edges (counted first) is broadcast and walked breadth first from every seed, in
+    one pass over the distinct seeds. A larger one goes by semi-naive iteration: each round joins only the frontier
+    with the edges and drops what is known, so cycles and diamonds end; the frontier is written to shared storage,
+    which keeps the plan short. Both ways have the same result.
     """
     src, dst = ("child", "parent") if up else ("parent", "child")
+    few = edges.where("child is not null and parent is not null and child <> parent").select(src, dst).distinct().limit(LOCAL_EDGES + 1).collect()
+    if len(few) <= LOCAL_EDGES:
+        return _walk(seeds, few, max_depth, include_self)
     step = materialise(edges.where("child is not null and parent is not null and child <> parent").select(F.col(src).alias("node"), F.col(dst).alias("next")).distinct(), "edges")
     front = materialise(seeds.select(F.col("node").alias("seed"), "node", F.lit(0).cast("long").alias("level")).where("node is not null").distinct(), "closure")
     known, depth = front, 0
@@ -38,15 +51,57 @@ def closure(seeds: DataFrame, edges: DataFrame, max_depth: int | None = None, up
     return out
 
 
+def _walk(seeds: DataFrame, edges: list[tuple], max_depth: int | None, include_self: bool) -> DataFrame:
+    """``closure`` where the edges, as (from, to), are at hand."""
+    start = seeds.select(F.col("node").alias("seed")).where("seed is not null").distinct()
+    steps: dict[object, list] = defaultdict(list)
+    for a, b in edges:
+        steps[a].append(b)
+    held = seeds.sparkSession.sparkContext.broadcast(dict(steps))
+    kind = start.schema.fields[0].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nexts = held.value
+        rows: tuple[list, list, list] = ([], [], [])
+        type_ = None
+
+        def batch() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(rows[0], type_), pa.array(rows[1], type_), pa.array(rows[2], pa.int64())], names=["seed", "node", "level"])
+            for r in rows:
+                r.clear()
+            return out
+
+        for b in batches:
+            type_ = b.column(0).type
+            for seed in b.column(0).to_pylist():
+                seen, front, level = {seed}, [seed], 0
+                found = front if include_self else []
+                while True:
+                    rows[0].extend([seed] * len(found))
+                    rows[1].extend(found)
+                    rows[2].extend([level] * len(found))
+                    if len(rows[0]) >= 50_000:
+                        yield batch()
+                    if not front or level == max_depth:
+                        break
+                    level += 1
+                    front = [n for n in dict.fromkeys(n for f in front for n in nexts.get(f, ())) if n not in seen]
+                    seen.update(front)
+                    found = front
+        if rows[0]:
+            yield batch()
+
+    return start.mapInArrow(run, f"seed {kind}, node {kind}, level long")
+
+
 def closure_sql(spark, seeds: DataFrame, edges: DataFrame, max_depth: int) -> DataFrame:
     """The bounded closure downwards as one recursive query, for trees and small depths."""
-    seeds.createOrReplaceTempView("_lw_seeds")
-    edges.createOrReplaceTempView("_lw_edges")
-    return spark.sql(f"""
+    query = f"""
       WITH RECURSIVE c (seed, node, level) AS (
-        SELECT node, node, CAST(0 AS BIGINT) FROM _lw_seeds
-        UNION ALL SELECT c.seed, e.child, c.level + 1 FROM c JOIN _lw_edges e ON e.parent = c.node WHERE c.level < {int(max_depth)})
-      SELECT seed, node, min(level) AS level FROM c WHERE level > 0 GROUP BY seed, node""")
+        SELECT node, node, CAST(0 AS BIGINT) FROM {{seeds}}
+        UNION ALL SELECT c.seed, e.child, c.level + 1 FROM c JOIN {{edges}} e ON e.parent = c.node WHERE c.level < {int(max_depth)})
+      SELECT seed, node, min(level) AS level FROM c WHERE level > 0 GROUP BY seed, node"""
+    return spark.sql(query, seeds=seeds.select("node"), edges=edges.select("child", "parent"))
 
 
 def at_level(seeds: DataFrame, edges: DataFrame, level: int) -> DataFrame:
@@ -67,8 +122,20 @@ def parents(edges: DataFrame) -> DataFrame:
 
 
 def root_of(edges: DataFrame) -> DataFrame:
-    """``(node, root)``: every term's roots; roots are their own."""
-    return closure(roots(edges), edges, include_self=True).select("node", F.col("seed").alias("root"))
+    """``(node, root)``: every term's roots; roots are their own. Terms above which there are only circles have none.
+
+    Pointer doubling: every term points to what lies 2^k steps above it, roots to themselves, and each round follows
+    the pointers of the pointers, so the rounds grow with the logarithm of the depth.
+    """
+    known = materialise(edges.where("child is not null and parent is not null and child <> parent").select("child", "parent").distinct(), "edges")
+    tops = materialise(roots(known), "roots")
+    links = materialise(known.select(F.col("child").alias("node"), F.col("parent").alias("up")).unionByName(tops.select("node", F.col("node").alias("up"))), "pointers")
+    # no path without a circle is longer than the number of edges
+    for _ in range(max(known.count(), 1).bit_length()):
+        if links.select("up").distinct().join(tops.withColumnRenamed("node", "up"), "up", "left_anti").isEmpty():
+            break
+        links = materialise(links.join(links.select(F.col("node").alias("up"), F.col("up").alias("next")), "up").select("node", F.col("next").alias("up")).distinct(), "pointers")
+    return links.join(tops.withColumnRenamed("node", "up"), "up", "left_semi").select("node", F.col("up").alias("root"))
 
 
 def suppress_descendants(hits: DataFrame, edges: DataFrame, within: int = 2, active: bool = True) -> DataFrame:

@@ -20,11 +20,11 @@ def consensus(spark: SparkSession, sf: str) -> DataFrame:
 
 def consensus_serving(spark: SparkSession, sf: str) -> DataFrame:
     s = cons.serving_rows(cons.consensus(evidence(spark, sf)))
-    return s.select("mirna_family", "gene_family", "interaction", "evidence_documents", "evidence_count")
+    return s.select("mirna_family", "gene_family", "interaction", "organisms", "evidence_documents", "sent_evidences", "evidence_count", "sent_count", "is_consensus")
 
 
 def consensus_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return cons.interaction_documents(cons.consensus(evidence(spark, sf)))
+    return cons.interaction_documents(evidence(spark, sf))
 
 
 def rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -129,7 +129,7 @@ QUERIES = {
 _CONS = f"""
 WITH {EVIDENCE_SQL},
 g AS (SELECT mirna_family, gene_family, direction, regulation, string_agg(DISTINCT organism, ';' ORDER BY organism) AS organisms,
-             string_agg(DISTINCT doc_id, ';' ORDER BY doc_id) AS evidence_documents, count(DISTINCT doc_id) AS evidence_count, count(DISTINCT sent_id) AS sent_count FROM ev GROUP BY ALL),
+             string_agg(DISTINCT doc_id, ';' ORDER BY doc_id) AS evidence_documents, string_agg(DISTINCT sent_id, ';' ORDER BY sent_id) AS sent_evidences, count(DISTINCT doc_id) AS evidence_count, count(DISTINCT sent_id) AS sent_count FROM ev GROUP BY ALL),
 cons AS (SELECT *, CASE WHEN evidence_count = max(evidence_count) OVER (PARTITION BY mirna_family, gene_family) THEN 1 ELSE 0 END AS is_consensus FROM g)
 """
 _ISLES = f"""
@@ -150,7 +150,7 @@ _RATES = """round(tp / nullif(tp + fp, 0), 6) AS "precision", round(tp / nullif(
 
 ORACLE = {
     "consensus": _CONS + "SELECT mirna_family, gene_family, direction, regulation, organisms, evidence_count, sent_count, is_consensus FROM cons",
-    "consensus_serving": _CONS + "SELECT mirna_family, gene_family, direction || ';' || regulation AS interaction, evidence_documents, evidence_count FROM cons",
+    "consensus_serving": _CONS + "SELECT mirna_family, gene_family, direction || ';' || regulation AS interaction, organisms, evidence_documents, sent_evidences, evidence_count, sent_count, is_consensus FROM cons",
     "consensus_documents": f"WITH {EVIDENCE_SQL} SELECT DISTINCT mirna_family, gene_family, direction || ';' || regulation AS interaction, doc_id FROM ev",
     "rejected_rows": f"WITH {EVIDENCE_SQL} SELECT gene_family, count(*) AS n FROM ev WHERE gene_family NOT IN ('CHINA', 'PERU') AND NOT starts_with(upper(gene_family), 'MIR-') GROUP BY 1",
     "interval_merge": _ISLES + 'SELECT grp, min(start) AS start, max("end") AS "end", count(*) AS n FROM isl GROUP BY grp, i',

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from litweft.operators import annotate, documents, ontology, serve, timeline
 from litweft.operators.consensus import with_consensus_flag
 from litweft.operators.serve import TableQuery
+from litweft.operators.unpack import IDS, unpack
 from litweft.plans.project import ONTOLOGY_SQL, ontology as part_tree
 from litweft.session import table
 
@@ -110,9 +111,10 @@ def table_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _mx_int(spark: SparkSession, sf: str) -> DataFrame:
-    """Interactions by document: the article ids in evidence_documents, however packed."""
-    ids = F.regexp_extract_all("evidence_documents", F.lit("((?:PMC)?[0-9]{6,})"), F.lit(1))
-    return table(spark, sf, "mx").select("mirna_family", "gene_family", "interaction", F.explode(ids).alias("doc_id"))
+    """Interactions by document: the values packed in evidence_documents; what follows a blank in a quoted value is a
+    remark on the document and no part of its id."""
+    values = unpack(table(spark, sf, "mx"), {"evidence_documents": IDS}, ["mirna_family", "gene_family", "interaction"])
+    return values.select("mirna_family", "gene_family", "interaction", F.regexp_extract("val", "^(\\S+)", 1).alias("doc_id"))
 
 
 def interaction_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -191,8 +193,11 @@ QUERIES = {
     )
 }
 
-_INT = """
-mx_int AS (SELECT mirna_family, gene_family, interaction, unnest(regexp_extract_all(evidence_documents, '(?:PMC)?[0-9]{6,}')) AS doc_id FROM mx)"""
+# a value is a quoted text, a doubled mark inside standing for one, or a run without blanks and separating marks; its id is its first word
+_INT = r"""
+packed AS (SELECT mirna_family, gene_family, interaction, unnest(regexp_extract_all(evidence_documents, '"(?:[^"]|"")*"|''(?:[^'']|'''')*''|[^;,|/\s\[\]"'']+')) AS v FROM mx),
+mx_int AS (SELECT mirna_family, gene_family, interaction, string_split(trim(trim(v, '"'''), ' '), ' ')[1] AS doc_id FROM packed WHERE trim(v, '"'' ') <> '')"""
+
 _AUTH = """
 named AS (SELECT doc_id, author_ord, row_id, trim(concat_ws(' ', firstname, lastname)) AS name FROM mx_authors),
 auth AS (SELECT doc_id, arg_min(name, (author_ord, row_id)) AS first_author, arg_max(name, (author_ord, -row_id)) AS last_author FROM named WHERE name <> '' GROUP BY doc_id)"""

@@ -7,11 +7,14 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 _ROOTS: set[str] = set()
+_SCOPES: list[str] = []
 
 
 def get_session(app: str = "litweft", master: str | None = None, **conf: str) -> SparkSession:
@@ -83,6 +86,22 @@ def release(spark: SparkSession, root: str | None = None) -> None:
         shutil.rmtree(root.removeprefix("file://"), ignore_errors=True)
 
 
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside the block are deleted at its end.
+
+    Frames made inside must be written or collected before. For long sessions; without it they stay until the
+    driver ends. Blocks may be nested; they belong to one thread.
+    """
+    root = f"{temporary_root(spark)}/scope-{uuid.uuid4().hex}"
+    _SCOPES.append(root)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(root)
+        release(spark, root)
+
+
 def materialise(df: DataFrame, name: str = "tmp") -> DataFrame:
     """Cut the lineage by writing to the shared folder and reading back.
 
@@ -91,7 +110,7 @@ def materialise(df: DataFrame, name: str = "tmp") -> DataFrame:
     aggregated or narrow frames that are read more than once.
     """
     spark = df.sparkSession
-    path = f"{temporary_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_SCOPES[-1] if _SCOPES else temporary_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

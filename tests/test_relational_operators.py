@@ -191,3 +191,62 @@ def test_stream_equals_batch(spark, tmp_path):
     w = incremental.windowed_counts(stream, "ts", "event_type").writeStream.format("memory").queryName("w").outputMode("complete").option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start()
     w.awaitTermination(120)
     assert rows(spark.table("w")) == rows(incremental.windowed_counts(src, "ts", "event_type"))
+
+
+def test_closure_is_the_same_both_ways(spark, monkeypatch):
+    import random
+
+    r = random.Random(4)
+    tree = [(k, (k - 1) // 3) for k in range(1, 60)]
+    dag = [(r.randint(0, 40), r.randint(0, 40)) for _ in range(70)] + [(None, 1), (2, None), (3, 3)]  # with circles and diamonds
+    for data in (tree, dag):
+        edges = spark.createDataFrame(data, "child int, parent int")
+        seeds = spark.createDataFrame([(k,) for k in (0, 3, 7, 7, 99, None)], "node int")
+        for kw in ({}, {"max_depth": 2}, {"up": True}, {"include_self": True}, {"max_depth": 0, "include_self": True}):
+            monkeypatch.setattr(ontology, "LOCAL_EDGES", 200_000)
+            near = rows(ontology.closure(seeds, edges, **kw))
+            monkeypatch.setattr(ontology, "LOCAL_EDGES", 0)
+            assert rows(ontology.closure(seeds, edges, **kw)) == near
+    words = spark.createDataFrame([("b", "a"), ("c", "b")], "child string, parent string")
+    monkeypatch.setattr(ontology, "LOCAL_EDGES", 200_000)
+    assert rows(ontology.closure(words.select(words.parent.alias("node")), words)) == [("a", "b", 1), ("a", "c", 2), ("b", "c", 1)]
+
+
+def test_roots_of_deep_graphs_and_circles(spark):
+    chain = [(k + 1, k) for k in range(70)]
+    edges = spark.createDataFrame([*chain, (200, 201), (201, 200), (202, 200), (50, 300), (None, 5)], "child int, parent int")
+    got = rows(ontology.root_of(edges))
+    assert got == sorted([(k, 0) for k in range(71)] + [(300, 300)] + [(k, 300) for k in range(50, 71)], key=repr)
+    assert rows(ontology.root_of(edges.limit(0))) == []
+
+
+def test_intermediates_are_released(spark):
+    import os
+
+    from litweft import session
+
+    with session.intermediates(spark):
+        a = session.materialise(spark.range(3))
+        with session.intermediates(spark):
+            b = session.materialise(spark.range(2))
+            assert b.count() == 2
+        inner = b.inputFiles()[0].removeprefix("file://")
+        assert a.count() == 3 and not os.path.exists(inner)
+    assert not os.path.exists(a.inputFiles()[0].removeprefix("file://"))
+    kept = session.materialise(spark.range(4))
+    assert kept.count() == 4
+
+
+def test_packed_document_ids(spark, tmp_path):
+    from litweft.plans import serving
+
+    packed = ['7;"PMC12 (see ""x""; p. 4)",123', "['9']", '"90 | retracted"', "", None, "; ,"]
+    df = spark.createDataFrame([("m", "g", "i", p) for p in packed], "mirna_family string, gene_family string, interaction string, evidence_documents string")
+    df.write.parquet(str(tmp_path / "mx.parquet"))
+    got = serving.interaction_documents(spark, str(tmp_path))
+    assert sorted(r.doc_id for r in got.collect()) == ["123", "7", "9", "90", "PMC12"]
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"create view mx as select * from '{tmp_path}/mx.parquet/*.parquet'")
+    assert sorted(r[3] for r in con.execute(serving.ORACLE["interaction_documents"]).fetchall()) == ["123", "7", "9", "90", "PMC12"]
