@@ -83,15 +83,21 @@ def joined_by_label(parts: Column) -> Column:
     return F.transform(labels, lambda n: F.struct(n.alias("label"), F.array_join(F.transform(F.filter(parts, lambda x: x["label"] == n), lambda x: x["text"]), " ").alias("text")))
 
 
+# Words that end in a full stop inside a sentence.
+ABBREVIATIONS = "vs e.g i.e cf ca al Fig Figs Tab Ref Refs No Nos Dr Prof St Mr Mrs sp spp subsp var approx resp incl etc Inc Ltd Co"
+#: Sentence ends: '.', '!' or '?' before white space and a capital or digit, but not after an abbreviation or a single capital.
+SENTENCE_END = f"(?<=[.!?])(?<!\\b(?:{'|'.join(w.replace('.', '[.]') for w in ABBREVIATIONS.split())})[.])(?<!\\b[A-Z][.])\\s+(?=[A-Z0-9])"
+
+
 def sentences(docs: DataFrame, splitter: Column | None = None) -> DataFrame:
     """``(sent_id, doc_id, par_id, sen_id, text)``: paragraph 1 is the title, 2 the abstract, 3 the ``body`` if there is one.
 
-    The default splitter cuts after '.', '!' or '?' before a blank and a capital or digit.
+    The default splitter cuts at SENTENCE_END; ``splitter`` is any expression that makes an array of ``text``.
     """
     body = F.array_join(F.transform("body", lambda x: x["text"]), " ") if "body" in docs.columns else F.lit(None).cast("string")
     pars = F.array(F.col("title"), F.array_join(F.transform("abstract", lambda x: x["text"]), " "), body)
     p = docs.select("doc_id", F.posexplode(pars).alias("par_id", "text")).where("text <> ''").withColumn("par_id", F.col("par_id") + 1)
-    cut = splitter if splitter is not None else F.split("text", "(?<=[.!?])\\s+(?=[A-Z0-9])")
+    cut = splitter if splitter is not None else F.split("text", SENTENCE_END)
     s = p.select("doc_id", "par_id", F.posexplode(cut).alias("sen_id", "text")).withColumn("sen_id", F.col("sen_id") + 1)
     s = s.withColumn("text", F.trim("text")).where(F.length("text") > F.when(F.col("doc_id").startswith("PMC"), 5).otherwise(0))
     return s.select(F.concat_ws(".", "doc_id", "par_id", "sen_id").alias("sent_id"), "doc_id", "par_id", "sen_id", "text")

@@ -125,12 +125,23 @@ def gene2go(spark: SparkSession, path: str, taxa: list[str] | None = None, evide
     return d.where(F.col("evidence").isin(evidence)) if evidence else d
 
 
-def synonym_file(spark: SparkSession, path: str, dict_id: int = 0, encoding: str = "UTF-8") -> DataFrame:
+#: Bytes of a synonym file; it is read as one row, so that its lines can be numbered.
+MAX_SYNONYM_FILE = 512 << 20
+
+
+def synonym_file(spark: SparkSession, path: str, dict_id: int = 0, fallback: str = "ISO-8859-1") -> DataFrame:
     """``(dict_id, syn_idx, syn_id, syn)`` of a synonym file; syn_idx is the line number from 0, duplicate ids keep
-    their first line. The file is one dictionary and is read by one task, so that lines can be numbered."""
+    their first line.
+
+    A file that is no valid UTF-8 is read in the encoding ``fallback``. The file is one dictionary and is read by one
+    task; one over MAX_SYNONYM_FILE bytes raises.
+    """
     from litweft.functions.synonyms import from_line
 
-    lines = spark.read.option("encoding", encoding).text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("syn_idx", "line")).where("line <> ''")
+    whole = spark.read.format("binaryFile").load(path)
+    too_large = F.raise_error(F.lit(f"a synonym file is larger than {MAX_SYNONYM_FILE} bytes"))
+    content = F.when(F.col("length") <= MAX_SYNONYM_FILE, F.coalesce(F.try_validate_utf8(F.col("content").cast("string")), F.decode("content", fallback))).otherwise(too_large.cast("string"))
+    lines = whole.select(F.posexplode(F.split(content, "\r?\n")).alias("syn_idx", "line")).where("line <> ''")
     parsed = lines.select("syn_idx", from_line(F.col("line")).alias("s")).select("syn_idx", "s.*")
     first = parsed.groupBy("syn_id").agg(F.min_by(F.struct("syn_idx", "syns"), "syn_idx").alias("r")).select("syn_id", "r.*")
     return first.select(F.lit(dict_id).alias("dict_id"), "syn_idx", "syn_id", F.explode("syns").alias("syn"))

@@ -153,3 +153,36 @@ def test_sinks(spark, tmp_path):
     assert len(list((tmp_path / "d").glob("*.csv"))) == 1
     sinks.json_tracks(spark.range(1), str(tmp_path / "j"))
     assert rows(spark.read.text(str(tmp_path / "j"))) == [('{"id":0}',)]
+
+
+def test_side_files_round_trip(spark, tmp_path):
+    schema = "doc_id string, title string, journal string, pub_date string, pmid string, authors array<struct<firstname:string,initials:string,lastname:string>>, citations array<string>, pub_types array<string>"
+    docs = spark.createDataFrame(
+        [("1", "T", "J", "2001-02-00", "77", [("Bob", "B", "Fluvo"), ("", "", "The Group")], ["7", "8"], ["Review"]), ("2", None, None, None, None, [], None, None), ("3", "U", "K", "1999", None, None, [], [])], schema
+    )
+    sinks.side_files(docs, spark.createDataFrame([("1.1.1", "A text.")], "sent_id string, text string"), str(tmp_path / "s"))
+    read = lambda kind: rows(tables.side_file(spark, str(tmp_path / "s" / kind), kind))
+    assert read("title") == [("1", "T"), ("3", "U")] and read("journal") == [("1", "J", ""), ("3", "K", "")]
+    assert read("author") == [("1", "", "", "The Group", 2), ("1", "Bob", "B", "Fluvo", 1)]
+    assert read("citation") == [("1", "7"), ("1", "8")] and read("pubtype") == [("1", "Review")] and read("pmid") == [("1", "77")]
+    assert read("date") == [("1", 2001, 2, 0), ("3", 1999, 0, 0)]
+    assert rows(tables.sentences(spark, str(tmp_path / "s" / "sent")).select("sent_id", "text")) == [("1.1.1", "A text.")]
+
+
+def test_synonym_file_in_another_encoding(spark, tmp_path, monkeypatch):
+    (tmp_path / "l.syn").write_bytes("A:caf\u00e9|x\r\nB:z\n".encode("latin-1"))
+    (tmp_path / "u.syn").write_bytes("A:caf\u00e9\n".encode())
+    assert [r.syn for r in tables.synonym_file(spark, str(tmp_path / "l.syn")).orderBy("syn_idx", "syn").collect()] == ["A", "caf\u00e9", "x", "B", "z"]
+    assert {r.syn for r in tables.synonym_file(spark, str(tmp_path / "u.syn")).collect()} == {"A", "caf\u00e9"}
+    monkeypatch.setattr(tables, "MAX_SYNONYM_FILE", 3)
+    import pytest
+
+    with pytest.raises(Exception, match="larger than"):
+        tables.synonym_file(spark, str(tmp_path / "u.syn")).collect()
+
+
+def test_sentence_ends_mind_abbreviations(spark):
+    text = "We tested miR-1 vs. MIR-2 in E. coli K12 (see Fig. 2). It worked! Did it? Yes, e.g. ABC1 et al. Then 3 more. B. subtilis too."
+    docs = spark.createDataFrame([("1", None, [("G", text)])], "doc_id string, title string, abstract array<struct<label:string,text:string>>")
+    got = [r.text for r in pubmed.sentences(docs).orderBy("sen_id").collect()]
+    assert got == ["We tested miR-1 vs. MIR-2 in E. coli K12 (see Fig. 2).", "It worked!", "Did it?", "Yes, e.g. ABC1 et al. Then 3 more.", "B. subtilis too."]
