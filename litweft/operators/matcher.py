@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+import uuid
+from collections import OrderedDict, defaultdict
 from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
@@ -157,16 +158,33 @@ def match(sentences: DataFrame, dictionary: DataFrame, excluded: Sequence[str] =
     return out
 
 
-def _search(shard, excluded: frozenset[str], submatch: tuple[str, ...], trust: int, longest: bool):
-    names = [f.split()[0] for f in HIT_SCHEMA.split(", ")]
-    types = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.string(), pa.string(), pa.int32()]
+#: Automata that a Python worker keeps for the tasks that follow, by shard; the one used longest ago goes first.
+KEPT = 4
+_BUILT: OrderedDict[str, tuple[_Automaton, _Automaton]] = OrderedDict()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _automata(key: str, shard, excluded: frozenset[str], submatch: tuple[str, ...]) -> tuple[_Automaton, _Automaton]:
+    """The automata of a shard and of the blocked words, built once by a worker."""
+    if key not in _BUILT:
         forms: dict[str, list] = defaultdict(list)
         for d, k, syn in shard.value:
             for f in surface_forms(syn, excluded):
                 forms[f].append((d, k, syn))
-        auto, stop = _Automaton(dict(forms)), _Automaton({w.upper(): [w] for w in submatch})
+        _BUILT[key] = _Automaton(dict(forms)), _Automaton({w.upper(): [w] for w in submatch})
+        while len(_BUILT) > KEPT:
+            _BUILT.popitem(last=False)
+    _BUILT.move_to_end(key)
+    return _BUILT[key]
+
+
+def _search(shard, excluded: frozenset[str], submatch: tuple[str, ...], trust: int, longest: bool):
+    names = [f.split()[0] for f in HIT_SCHEMA.split(", ")]
+    types = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.string(), pa.string(), pa.int32()]
+
+    key = uuid.uuid4().hex
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        auto, stop = _automata(key, shard, excluded, submatch)
         for b in batches:
             rows = [(sid, *h) for sid, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for h in _sentence_hits(text, auto, stop, trust, longest)]
             cols = list(zip(*rows)) if rows else [[] for _ in names]

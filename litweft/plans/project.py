@@ -48,14 +48,18 @@ def ontology(spark: SparkSession, sf: str) -> DataFrame:
 ONTOLOGY_SQL = "edge AS (SELECT p_partkey AS child, p_partkey // 2 AS parent FROM part WHERE p_partkey > 1)"
 
 
+ENDS = "[.!?][ \\t\\r\\n]+"
+
+
 def sentences(spark: SparkSession, sf: str) -> DataFrame:
-    """Sentences (doc_id, sen_id, sent_id, text): the non-empty parts of every text between '. '."""
+    """Sentences (doc_id, sen_id, sent_id, text): the non-empty parts of every text between '.', '!' or '?' and the white
+    space after it. A rule that both engines know; ``sources.pubmed.sentences`` also minds abbreviations."""
     d = spread(table(spark, sf, "documents").select("doc_id", "text")).where("text is not null")
-    parts = d.select("doc_id", F.posexplode(F.split("text", "\\. ")).alias("sen_id", "text")).where("length(text) > 0")
+    parts = d.select("doc_id", F.posexplode(F.split("text", ENDS)).alias("sen_id", "text")).where("length(text) > 0")
     return parts.select("doc_id", F.col("sen_id").cast("long").alias("sen_id"), F.concat_ws(".", "doc_id", F.lit("2"), "sen_id").alias("sent_id"), "text")
 
 
-SENTENCES_SQL = """
-parts AS (SELECT doc_id, string_split(text, '. ') AS xs FROM documents WHERE text IS NOT NULL),
+SENTENCES_SQL = f"""
+parts AS (SELECT doc_id, regexp_split_to_array(text, '{ENDS}') AS xs FROM documents WHERE text IS NOT NULL),
 sent AS (SELECT doc_id, i - 1 AS sen_id, doc_id || '.2.' || (i - 1) AS sent_id, xs[i] AS text
          FROM (SELECT doc_id, xs, unnest(generate_series(1, len(xs))) AS i FROM parts) WHERE length(xs[i]) > 0)"""

@@ -31,7 +31,8 @@ def sentences(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sentence_ids(spark: SparkSession, sf: str) -> DataFrame:
-    ids = table(spark, sf, "mx_annot").where("sent_evidences <> ''").select("row_id", F.split(F.split("sent_evidences", "\\|")[0], ",")[0].alias("sid"))
+    """Parts of the sentence id of every evidence of every row."""
+    ids = table(spark, sf, "mx_annot").where("sent_evidences <> ''").select("row_id", F.explode(F.split("sent_evidences", "\\|")).alias("e")).select("row_id", F.split("e", ",")[0].alias("sid"))
     return ids.select("row_id", tx.sentence_parts(F.col("sid")).alias("p")).select("row_id", "p.doc_id", F.col("p.par_id").cast("long").alias("par_id"), F.col("p.sen_id").cast("long").alias("sen_id"))
 
 
@@ -101,6 +102,28 @@ def all_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("sent_id", "syn_a", "matched_a", "start_a", "end_a", "syn_b", "matched_b", "start_b", "end_b")
 
 
+def all_longest(spark: SparkSession, sf: str) -> DataFrame:
+    """The longest of all accepted hits at each place of a dictionary."""
+    return _hits(spark, sf, only_longest=True).selectExpr(*HIT, "matched", "exact")
+
+
+def all_submatch_excluded(spark: SparkSession, sf: str) -> DataFrame:
+    """All accepted hits but those that begin where a blocked word stands."""
+    return _hits(spark, sf, only_longest=False, submatch=SUBMATCH).selectExpr(*HIT, "matched", "exact")
+
+
+def all_frequent_surfaces(spark: SparkSession, sf: str) -> DataFrame:
+    """Surfaces of all accepted hits that occur more than twenty times."""
+    return matcher.frequent_surfaces(_hits(spark, sf, only_longest=False), 20)
+
+
+def all_tagged_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """The first pair of the two dictionaries in every sentence over all accepted hits, tagged."""
+    h = materialise(cooccur.dense_sentences_out(_hits(spark, sf, only_longest=False)), "hits")
+    p = cooccur.distinct_pairs(cooccur.pairs(h.where("dict_id = 1"), h.where("dict_id = 2"), sents(spark, sf)))
+    return p.select("sent_id", "syn_a", "syn_b", tx.tag_pair(F.col("text"), F.col("start_a"), F.col("end_a"), F.col("start_b"), F.col("end_b")).alias("tagged"))
+
+
 def sentence_fragments(spark: SparkSession, sf: str) -> DataFrame:
     return relations.fragments(sents(spark, sf)).select("sent_id", F.col("pos").cast("long").alias("pos"), F.col("start").cast("long").alias("start"), "fragment")
 
@@ -183,6 +206,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         sentences, sentence_ids, usable_sentences, exact_hits, dictionary_hits, longest_match, submatch_exclude, high_frequency_surface, common_word_removal, cooccurrence, tagged_pairs, all_hits, all_pairs,
+        all_longest, all_submatch_excluded, all_frequent_surfaces, all_tagged_pairs,
         sentence_fragments, stem_direction, relation_rules_text, relation_rules_pairs, context_reject_exact, context_reject_fuzzy, highlight_spans, collapsed_text, mirna_parse, synonym_clean, hyphen_variants,
         greek_variants, acronyms,
     )
@@ -225,7 +249,7 @@ def _rule_sql(what: str) -> str:
 ORACLE = {
     "sentences": f"WITH {SENTENCES_SQL} SELECT * FROM sent",
     "sentence_ids": """SELECT row_id, split_part(s, '.', 1) AS doc_id, try_cast(split_part(s, '.', 2) AS BIGINT) AS par_id, try_cast(split_part(s, '.', 3) AS BIGINT) AS sen_id
-FROM (SELECT row_id, split_part(split_part(sent_evidences, '|', 1), ',', 1) AS s FROM mx_annot WHERE sent_evidences <> '')""",
+FROM (SELECT row_id, split_part(unnest(string_split(sent_evidences, '|')), ',', 1) AS s FROM mx_annot WHERE sent_evidences <> '')""",
     "usable_sentences": f"""WITH {SENTENCES_SQL} SELECT sent_id FROM sent WHERE length(text) <= 120 AND length(trim(text, ' ')) > 3
 AND NOT (starts_with(text, 'Table ') OR starts_with(text, 'Figure ') OR starts_with(text, 'Tab. ') OR starts_with(text, 'Fig. '))""",
     "exact_hits": _EXACT + f"SELECT DISTINCT {_HIT} FROM hit",
@@ -262,8 +286,8 @@ SELECT word, CASE WHEN lower(word) LIKE '%-stressed' AND NOT starts_with(lower(w
     "relation_rules_text": _REL + f"SELECT sent_id, {_rule_sql('name')} AS rule, {_rule_sql('direction')} AS direction, {_rule_sql('regulation')} AS regulation FROM z",
     "context_reject_exact": f"""WITH {SENTENCES_SQL}, x AS (SELECT sent_id, text, regexp_extract(text, '\\b[QXZ][A-Z]{{2}}[0-9]+\\b') AS gene FROM sent), y AS (SELECT *, instr(text, gene) - 1 AS s FROM x WHERE gene <> '')
 SELECT sent_id FROM y WHERE """ + " OR ".join(
-        [f"contains(substr(text, s + 2, length(gene) + {n}), '{p}')" for p, k, n in relations.AFTER_GENE if k == 0 and p.replace("-", "").replace(" ", "").replace(".", "").isalpha() and "." not in p]
-        + [f"contains(substr(text, greatest(s - 1 - {n}, 0) + 1, s - greatest(s - 1 - {n}, 0)), '{p}')" for p, k, n in relations.BEFORE_GENE if k == 0 and p.replace("-", "").replace(" ", "").isalpha()]
+        [f"regexp_matches(substr(text, s + 2, length(gene) + {n}), '{p}')" for p, n in relations.exact_context_patterns(relations.AFTER_GENE)]
+        + [f"regexp_matches(substr(text, greatest(s - 1 - {n}, 0) + 1, s - greatest(s - 1 - {n}, 0)), '{p}')" for p, n in relations.exact_context_patterns(relations.BEFORE_GENE)]
     ),
     "highlight_spans": f"WITH {SENTENCES_SQL} SELECT sent_id, substr(text, 1, 2) || '<b>' || substr(text, 3, 3) || '</b>' || substr(text, 6, 4) || '<b>' || substr(text, 10, 3) || '</b>' || substr(text, 13) AS marked FROM sent",
     "collapsed_text": f"""WITH {SENTENCES_SQL} SELECT sent_id, regexp_replace(text, '[-()\\[\\]{{}}=!"§$%&/?+*''#]+', ' ', 'g') AS form FROM sent""",
