@@ -76,6 +76,15 @@ def with_consensus_flag(df: DataFrame, pair: Sequence[str] = PAIR, count: str =
     return df.withColumn("is_consensus", F.coalesce((F.col(count) == top).cast("int"), F.lit(0)))
 
 
+def consensus_rows(df: DataFrame, pair: Sequence[str] = PAIR, count: str = "evidence_count") -> DataFrame:
+    """As ``with_consensus_flag`` for raw rows, of which one pair may hold very many: the largest count of every pair is
+    combined map-side and joined back (null keys are equal), so no pair is brought together in one task."""
+    top = df.groupBy(*pair).agg(F.max(count).alias("_top")).select(*(F.col(c).alias(f"_{c}") for c in pair), "_top")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in pair]
+    flag = F.coalesce((F.col(count) == F.col("_top")).cast("int"), F.lit(0)).alias("is_consensus")
+    return df.join(top, same).select(*(c for c in df.columns if c != "is_consensus"), flag)
+
+
 def serving_rows(cons: DataFrame) -> DataFrame:
     """The flat form: interaction as 'DIR;REG', documents ';'-joined, evidences joined by ';'."""
     return cons.select(

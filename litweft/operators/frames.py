@@ -43,6 +43,12 @@ def to_map(df: DataFrame, key: str, value: str, order: str) -> DataFrame:
     return last.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, value)))).alias("map"))
 
 
+def group_rows(df: DataFrame, key: str, value: str) -> DataFrame:
+    """``(key, value)``: the distinct values of every key, one per row, for keys with very many values."""
+    return df.where(F.col(value).isNotNull()).select(key, value).distinct()
+
+
 def group_sets(df: DataFrame, key: str, value: str) -> DataFrame:
-    """``(key, values)``: the sorted set of values of every key."""
+    """``(key, values)``: the sorted set of values of every key, null ones left out. A set is one array in memory; for
+    keys that may have millions of values take ``group_rows``."""
     return df.groupBy(key).agg(F.array_sort(F.collect_set(value)).alias("values"))

@@ -153,18 +153,36 @@ def context_reject_exact(text: Column, start: Column, end: Column) -> Column:
     return bad
 
 
-@lru_cache(maxsize=1)
-def _contexts() -> dict[str, list]:
-    import regex
+class _Fuzzy:
+    """A phrase with up to ``errors`` letters inserted, dropped or replaced, in a window of ``reach`` characters.
+
+    A literal phrase is cut into one piece more than it may have errors: one piece must then occur as it is, which is
+    asked before the costly search. Phrases that are patterns have no pieces and are always searched.
+    """
 
-    made = {}
-    for name, table in (("after_gene", AFTER_GENE), ("after_mirna", AFTER_MIRNA), ("before_gene", BEFORE_GENE), ("before_mirna", BEFORE_MIRNA)):
-        made[name] = [(regex.compile(f"({p}){{e<={k}}}"), n) for p, k, n in table]
-    return made
+    def __init__(self, phrase: str, errors: int, reach: int):
+        import regex
 
+        self.search, self.reach = regex.compile(f"({phrase}){{e<={errors}}}").search, reach
+        self.pieces: tuple[str, ...] = ()
+        if re.fullmatch("[A-Za-z0-9 -]+", phrase) and len(phrase) > errors:
+            cuts = [len(phrase) * i // (errors + 1) for i in range(errors + 2)]
+            self.pieces = tuple(phrase[a:b] for a, b in zip(cuts, cuts[1:]))
+
+    def found(self, text: str, start: int, end: int) -> bool:
+        if self.pieces and not any(text.find(x, start, end) >= 0 for x in self.pieces):
+            return False
+        return self.search(text, start, end) is not None
 
-def _context_free(text: str, start: int, end: int, after: list, before: list) -> bool:
-    return not (any(p.search(text, start + 1, min(len(text), end + 1 + n)) for p, n in after) or any(p.search(text, max(0, start - 1 - n), start) for p, n in before))
+
+@lru_cache(maxsize=1)
+def _contexts() -> dict[str, list[_Fuzzy]]:
+    tables = {"after_gene": AFTER_GENE, "after_mirna": AFTER_MIRNA, "before_gene": BEFORE_GENE, "before_mirna": BEFORE_MIRNA}
+    return {name: [_Fuzzy(*row) for row in table] for name, table in tables.items()}
+
+
+def _context_free(text: str, start: int, end: int, after: list[_Fuzzy], before: list[_Fuzzy]) -> bool:
+    return not (any(p.found(text, start + 1, min(len(text), end + 1 + p.reach)) for p in after) or any(p.found(text, max(0, start - 1 - p.reach), start) for p in before))
 
 
 def gene_context_ok(text: str, start: int, end: int) -> bool:
@@ -321,6 +339,11 @@ def pair_contexts(sentences: DataFrame) -> DataFrame:
     return _over_pairs(sentences, CONTEXT_SCHEMA, judge)
 
 
+def mentions(sentences: DataFrame) -> DataFrame:
+    """PAIR_SCHEMA: every pair of a miRNA mention and a gene mention of ``sentences`` (sent_id, text)."""
+    return _over_pairs(sentences, PAIR_SCHEMA, lambda text, mirs, genes: lambda i, j: ())
+
+
 # -- on a parse -------------------------------------------------------------------------------------
 VERBS = ("VERB", "AUX")
 NOUNS = ("NOUN", "PROPN")

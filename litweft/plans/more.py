@@ -126,8 +126,8 @@ def frame_first(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def group_sets(spark: SparkSession, sf: str) -> DataFrame:
-    g = frames.group_sets(table(spark, sf, "mx_annot").where("annotation is not null"), "annotation", "doc_id")
-    return g.select("annotation", F.size("values").cast("long").alias("n"), F.get("values", F.lit(0)).alias("first"))
+    g = frames.group_rows(table(spark, sf, "mx_annot").where("annotation is not null"), "annotation", "doc_id")
+    return g.groupBy("annotation").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
 
 
 def rank_documents(spark: SparkSession, sf: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litweft.operators import annotate, documents, ontology, serve, timeline
-from litweft.operators.consensus import with_consensus_flag
+from litweft.operators.consensus import consensus_rows
 from litweft.operators.serve import TableQuery
 from litweft.operators.unpack import IDS, unpack
 from litweft.plans.project import ONTOLOGY_SQL, ontology as part_tree
@@ -26,7 +26,7 @@ def evidence_by_interaction(spark: SparkSession, sf: str) -> DataFrame:
 
 def consensus_flag(spark: SparkSession, sf: str) -> DataFrame:
     mx = table(spark, sf, "mx").select("row_id", "mirna_family", "gene_family", "evidence_count")
-    return with_consensus_flag(mx).select("row_id", F.col("is_consensus").alias("flag"))
+    return consensus_rows(mx).select("row_id", F.col("is_consensus").alias("flag"))
 
 
 def top_genes(spark: SparkSession, sf: str) -> DataFrame:

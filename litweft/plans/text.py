@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litweft.functions import mirna, synonyms
+from litweft.functions import mirna, parse, synonyms
 from litweft.functions import text as tx
-from litweft.operators import cooccur, matcher, relations
+from litweft.operators import consensus, cooccur, matcher, relations
 from litweft.plans.project import SENTENCES_SQL
 from litweft.plans.project import sentences as sents
 from litweft.session import materialise, table
@@ -163,6 +163,29 @@ def context_reject_fuzzy(spark: SparkSession, sf: str) -> DataFrame:
     return relations.pair_contexts(sents(spark, sf))
 
 
+def _judged(spark: SparkSession, sf: str) -> DataFrame:
+    """Every pair of mentions of the usable sentences, judged by all checks and classified, over the plain parse."""
+    s = materialise(sents(spark, sf).where(tx.usable_sentence(F.col("text"), 500)).select("doc_id", "sent_id", "text"), "sentences")
+    parsed = s.select("doc_id", "sent_id", "text", parse.chain_parse(F.col("text"), [stem for _, stem in STEMS]).alias("tokens"))
+    pairs = relations.mentions(s).join(parsed, "sent_id")
+    return relations.relations(pairs, STEMS, keep=("doc_id", "sent_id", "mir", "gene", "start_a", "end_a", "start_b", "end_b"))
+
+
+def relations_full(spark: SparkSession, sf: str) -> DataFrame:
+    """Checks, acceptance and class of every pair of mentions."""
+    return _judged(spark, sf)
+
+
+def relation_consensus(spark: SparkSession, sf: str) -> DataFrame:
+    """From texts to serving rows: sentences, mentions, accepted relations, consensus interactions."""
+    ok = _judged(spark, sf).where("accepted")
+    ev = ok.select(
+        F.col("mir").alias("mirna_family"), F.col("gene").alias("gene_family"), "direction", "regulation", F.lit("").alias("organism"), F.col("doc_id").cast("string").alias("doc_id"), "sent_id"
+    )
+    c = consensus.consensus_counts(consensus.reject_rows(ev))
+    return c.select("mirna_family", "gene_family", F.concat_ws(";", "direction", "regulation").alias("interaction"), "evidence_count", "sent_count", "is_consensus")
+
+
 def highlight_spans(spark: SparkSession, sf: str) -> DataFrame:
     s = sents(spark, sf)
     at = lambda *ps: F.struct(*(F.least(F.lit(p), F.length("text")).alias(n) for p, n in zip(ps, ("start", "end"))))
@@ -207,7 +230,7 @@ QUERIES = {
     for f in (
         sentences, sentence_ids, usable_sentences, exact_hits, dictionary_hits, longest_match, submatch_exclude, high_frequency_surface, common_word_removal, cooccurrence, tagged_pairs, all_hits, all_pairs,
         all_longest, all_submatch_excluded, all_frequent_surfaces, all_tagged_pairs,
-        sentence_fragments, stem_direction, relation_rules_text, relation_rules_pairs, context_reject_exact, context_reject_fuzzy, highlight_spans, collapsed_text, mirna_parse, synonym_clean, hyphen_variants,
+        sentence_fragments, stem_direction, relation_rules_text, relation_rules_pairs, relations_full, relation_consensus, context_reject_exact, context_reject_fuzzy, highlight_spans, collapsed_text, mirna_parse, synonym_clean, hyphen_variants,
         greek_variants, acronyms,
     )
 }
