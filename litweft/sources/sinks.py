@@ -32,28 +32,35 @@ def single_file(df: DataFrame, path: str, sep: str = "\t") -> None:
     df.coalesce(1).write.mode("overwrite").option("sep", sep).option("header", True).csv(path)
 
 
+def lines(df: DataFrame, path: str) -> None:
+    """Lines of tab-separated columns, without quoting, as the side files are; a null is '', and tabs and line ends inside
+    a value become a blank."""
+    cells = [F.coalesce(F.regexp_replace(df[c].cast("string"), "[\\t\\r\\n]+", " "), F.lit("")) for c in df.columns]
+    df.select(F.concat_ws("\t", *cells).alias("value")).write.mode("overwrite").text(path)
+
+
 def side_files(docs: DataFrame, sentences: DataFrame, root: str) -> None:
     """Sentence, title, author, journal, citation, date, type and, where ``docs`` has ``pmid``, id map files of parsed articles.
 
     Their columns are those of ``tables.SIDE_FILES``, so ``tables.side_file`` reads them back. A missing month or day is 0.
     """
     has = set(docs.columns)
-    tsv(sentences.select("sent_id", "text"), f"{root}/sent")
-    tsv(docs.where("title is not null").select("doc_id", "title"), f"{root}/title")
+    lines(sentences.select("sent_id", "text"), f"{root}/sent")
+    lines(docs.where("title is not null").select("doc_id", "title"), f"{root}/title")
     # one task per article writes its authors in order
     person = docs.select("doc_id", F.explode("authors").alias("a"))
     initials = F.col("a.initials") if "initials" in docs.select(F.explode("authors").alias("a")).select("a.*").columns else F.lit("")
-    tsv(person.select("doc_id", "a.firstname", initials.alias("initials"), "a.lastname"), f"{root}/author")
+    lines(person.select("doc_id", "a.firstname", initials.alias("initials"), "a.lastname"), f"{root}/author")
     iso = F.col("journal_iso") if "journal_iso" in has else F.lit("")
-    tsv(docs.where("journal is not null").select("doc_id", "journal", iso.alias("journal_iso")), f"{root}/journal")
-    tsv(docs.select("doc_id", F.explode("citations").alias("cited_id")), f"{root}/citation")
+    lines(docs.where("journal is not null").select("doc_id", "journal", iso.alias("journal_iso")), f"{root}/journal")
+    lines(docs.select("doc_id", F.explode("citations").alias("cited_id")), f"{root}/citation")
     part = F.split("pub_date", "-")
     number = lambda i: F.coalesce(F.get(part, F.lit(i)).try_cast("int"), F.lit(0))
-    tsv(docs.where("pub_date is not null").select("doc_id", number(0).alias("year"), number(1).alias("month"), number(2).alias("day")), f"{root}/date")
+    lines(docs.where("pub_date is not null").select("doc_id", number(0).alias("year"), number(1).alias("month"), number(2).alias("day")), f"{root}/date")
     if "pub_types" in has:
-        tsv(docs.select("doc_id", F.explode("pub_types").alias("pub_type")), f"{root}/pubtype")
+        lines(docs.select("doc_id", F.explode("pub_types").alias("pub_type")), f"{root}/pubtype")
     if "pmid" in has:
-        tsv(docs.where("pmid is not null").select("doc_id", "pmid"), f"{root}/pmid")
+        lines(docs.where("pmid is not null").select("doc_id", "pmid"), f"{root}/pmid")
 
 
 def synonym_file(df: DataFrame, path: str) -> None:
