@@ -82,6 +82,32 @@ def without_numbers(syns: Column) -> Column:
     return F.filter(syns, lambda x: ~x.rlike("^[+-]?[0-9]*[.]?[0-9]+([eE][+-]?[0-9]+)?$") & (F.length(x) > 1))
 
 
+def matches(syns: Column, word: Column) -> Column:
+    """Is a word among the synonyms, in any case? Null lists have none."""
+    return F.coalesce(F.exists(syns, lambda x: F.lower(x) == F.lower(word)), F.lit(False))
+
+
+def merge(a: Column, b: Column) -> Column:
+    """The distinct synonyms of both lists, those of the first in front; a null list is empty."""
+    none = F.array().cast("array<string>")
+    return F.array_union(F.coalesce(a, none), F.coalesce(b, none))
+
+
+def remove(syns: Column, word: Column) -> Column:
+    """The list without a word, as it is written."""
+    return F.filter(syns, lambda x: x != word)
+
+
+def is_number(text: Column) -> Column:
+    """A decimal number with an optional sign and exponent; null is none."""
+    return F.coalesce(text.rlike("^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"), F.lit(False))
+
+
+def has_digit_and_letter(text: Column) -> Column:
+    """A text with both a digit and a Latin letter; null is none."""
+    return F.coalesce(text.rlike("[0-9]") & text.rlike("[A-Za-z]"), F.lit(False))
+
+
 def unfindable(term_id: Column) -> Column:
     """An id that no text contains."""
     return F.concat(F.lit("__"), term_id, F.lit("__"))

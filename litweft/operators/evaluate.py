@@ -55,6 +55,30 @@ def ablation(df: DataFrame, checks: Mapping[str, Column], truth: Column) -> Data
     return scores(conf.withColumn("subset", label)).drop("mask")
 
 
+def weighted_by_subset(df: DataFrame, checks: Mapping[str, Column], truth: str, predicted: Column) -> DataFrame:
+    """``(subset, support, precision, recall, f1)`` for every subset of ``checks``: the scores of all true labels, weighted
+    by their support. A row that fails a check of the subset has the label 'NA'; rows without a truth do not count; a
+    label that is never predicted has precision 0. The data are read once; counts combine map-side.
+    """
+    names = list(checks)
+    bits = F.array(*(F.coalesce(checks[n], F.lit(False)) for n in names))
+    flagged = df.where(F.col(truth).isNotNull()).select(F.col(truth).alias("_t"), predicted.alias("_p"), bits.alias("_bits")).withColumn("mask", F.explode(F.sequence(F.lit(0), F.lit(2 ** len(names) - 1))))
+    ok = F.lit(True)
+    for i in range(len(names)):
+        ok = ok & (F.col("_bits")[i] | (F.col("mask").bitwiseAND(F.lit(1 << i)) == 0))
+    cells = flagged.groupBy("mask", "_t", F.when(ok, F.col("_p")).otherwise("NA").alias("_p")).agg(F.count("*").alias("_n"))
+    true = cells.groupBy("mask", F.col("_t").alias("label")).agg(F.sum("_n").alias("support"), F.sum(F.when(F.col("_t") == F.col("_p"), F.col("_n")).otherwise(0)).alias("tp"))
+    said = cells.groupBy("mask", F.col("_p").alias("label")).agg(F.sum("_n").alias("claimed"))
+    one = true.join(said, ["mask", "label"], "left").fillna(0, ["claimed"])
+    mean = lambda x: F.round(F.sum(F.coalesce(x, F.lit(0.0)) * F.col("support")) / F.sum("support"), 6)
+    c = F.col
+    got = one.groupBy("mask").agg(
+        F.sum("support").alias("support"), mean(c("tp") / F.nullif(c("claimed"), F.lit(0))).alias("precision"), mean(c("tp") / c("support")).alias("recall"), mean(2 * c("tp") / (c("support") + c("claimed"))).alias("f1")
+    )
+    label = F.array_join(F.array(*(F.when(c("mask").bitwiseAND(F.lit(1 << i)) != 0, n) for i, n in enumerate(names))), "+")
+    return got.select(label.alias("subset"), "support", "precision", "recall", "f1")
+
+
 def blame(df: DataFrame, rule: str, truth: str, predicted: str) -> DataFrame:
     """``(rule, n_right, n_wrong)``: which rule decided right or wrong how often."""
     right = F.coalesce(F.col(truth) == F.col(predicted), F.lit(False))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -162,6 +162,14 @@ def context_documents(terms: DataFrame, contexts: DataFrame, edges: DataFrame) -
     return met.crossJoin(F.broadcast(wanted.agg(F.count("*").alias("want")))).where("met = want").select("doc_id")
 
 
+def term_genes(annotations: DataFrame, terms: DataFrame, edges: DataFrame, taxa: Sequence | None = None) -> DataFrame:
+    """``(term, taxon, gene)``: the genes that ``annotations`` (term, gene, taxon) have at every wanted term (column
+    ``node``) or below it, of some organisms only."""
+    below = closure(terms.select("node").distinct(), edges, include_self=True).select(F.col("seed").alias("_wanted"), F.col("node").alias("term"))
+    a = annotations.where(F.col("taxon").isin(list(taxa))) if taxa is not None else annotations
+    return a.join(below, "term").select(F.col("_wanted").alias("term"), "taxon", "gene").distinct()
+
+
 def merge_terms(terms: DataFrame) -> DataFrame:
     """One row per ``term_id``: synonyms, parents and children (arrays) united and sorted; the first name by code point."""
     union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce(F.col(c), F.array().cast("array<string>")))))).alias(c)

@@ -143,6 +143,11 @@ def details(relations: DataFrame, sentences: DataFrame, annots: DataFrame) -> Da
     return out.select(*INTERACTION, "doc_id", "sent_id", "text", F.coalesce("concepts", F.array().cast("array<string>")).alias("concepts"))
 
 
+def as_object(**fields: Column) -> Column:
+    """A row as a JSON object of the given fields, in their order; a null is written as null."""
+    return F.to_json(F.struct(*(c.alias(n) for n, c in fields.items())), {"ignoreNullFields": "false"})
+
+
 def source_link(doc: Column) -> Column:
     """struct(source, id) of a document for the row view."""
     return F.struct(F.when(doc.startswith("PMC"), "PMC").otherwise("PUBMED").alias("source"), doc.alias("id"))

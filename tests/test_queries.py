@@ -5,9 +5,9 @@ from __future__ import annotations
 import pytest
 from conftest import SF, same
 
-from litweft.plans import core, general, more, roundtrip, serving, stream, text
+from litweft.plans import core, filters, general, more, roundtrip, serving, stream, text
 
-MODULES = [core, general, more, roundtrip, serving, stream, text]
+MODULES = [core, filters, general, more, roundtrip, serving, stream, text]
 NAMES = [(m, n) for m in MODULES for n in m.QUERIES]
 
 
