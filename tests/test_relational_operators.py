@@ -250,3 +250,31 @@ def test_packed_document_ids(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"create view mx as select * from '{tmp_path}/mx.parquet/*.parquet'")
     assert sorted(r[3] for r in con.execute(serving.ORACLE["interaction_documents"]).fetchall()) == ["123", "7", "9", "90", "PMC12"]
+
+
+def test_flags_of_raw_rows_equal_the_window(spark):
+    r = random.Random(12)
+    data = [(i, r.choice(["m", "n", None, ""]), r.choice(["g", None]), r.choice([None, 1, 2, 2])) for i in range(200)] + [(999, "lone", "g", None)]
+    df = spark.createDataFrame(data, "row_id int, mirna_family string, gene_family string, evidence_count int")
+    assert rows(consensus.consensus_rows(df)) == rows(consensus.with_consensus_flag(df))
+    assert rows(consensus.consensus_rows(df.limit(0))) == []
+
+
+def test_scores_weighted_by_support(spark):
+    data = [("a", "a", 1, 1), ("a", "b", 1, 0), ("b", "b", 0, 1), ("b", None, 1, 1), (None, "a", 1, 1), ("c", "a", 1, 1)]
+    df = spark.createDataFrame(data, "t string, p string, x int, y int")
+    got = {r.subset: r for r in evaluate.weighted_by_subset(df, {"x": F.col("x") == 1, "y": F.col("y") == 1}, "t", F.col("p")).collect()}
+    assert set(got) == {"", "x", "y", "x+y"} and all(r.support == 5 for r in got.values())
+    # no check: a 1 of 2 right of 2 claimed, b 1 of 2 right of 2 claimed, c never
+    assert (got[""].precision, got[""].recall, got[""].f1) == (round((0.5 * 2 + 0.5 * 2) / 5, 6), 0.4, round((0.5 * 2 + 0.5 * 2) / 5, 6))
+    assert got["x+y"].recall == 0.2 and rows(evaluate.weighted_by_subset(df.limit(0), {"x": F.lit(True)}, "t", F.col("p"))) == []
+
+
+def test_genes_of_terms_and_row_objects(spark):
+    edges = spark.createDataFrame([("b", "a"), ("c", "b")], "child string, parent string")
+    ann = spark.createDataFrame([("c", "G1", 1), ("a", "G2", 2), ("c", "G1", 1), ("z", "G3", 1)], "term string, gene string, taxon int")
+    terms = spark.createDataFrame([("a",), ("b",), ("q",)], "node string")
+    assert rows(ontology.term_genes(ann, terms, edges)) == [("a", 1, "G1"), ("a", 2, "G2"), ("b", 1, "G1")]
+    assert rows(ontology.term_genes(ann, terms, edges, [2])) == [("a", 2, "G2")]
+    one = spark.createDataFrame([("x", None)], "a string, b int").select(serve.as_object(a=F.col("a"), n=F.col("b"))).first()[0]
+    assert one == '{"a":"x","n":null}'

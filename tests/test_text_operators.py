@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from litweft.functions import mirna, synonyms
 from litweft.functions import text as tx
-from litweft.functions.parse import TOKEN, Parse
+from litweft.functions.parse import TOKEN, Parse, chain_parse
 from litweft.operators import cooccur, matcher, relations
 
 S1 = "hsa-miR 155 is possibly contained in this sentence of hsa-miR-155, in contrast to HSA----MIR-155."
@@ -265,3 +265,52 @@ def test_exact_context_takes_patterns(spark):
 def test_fragments(spark):
     s = spark.createDataFrame([("1", "One: two; three"), ("2", "a (x: y) b"), ("3", "plain"), ("4", "")], "sent_id string, text string")
     assert rows(relations.fragments(s)) == [("1", 0, 0, "One"), ("1", 1, 4, " two"), ("1", 2, 9, " three"), ("2", 0, 0, "a (x: y) b"), ("3", 0, 0, "plain")]
+
+
+def test_pieces_never_hide_a_fuzzy_phrase():
+    import random
+
+    import regex
+
+    r = random.Random(6)
+    for table in (relations.AFTER_GENE, relations.AFTER_MIRNA, relations.BEFORE_GENE, relations.BEFORE_MIRNA):
+        for phrase, k, reach in table:
+            f, plain = relations._Fuzzy(phrase, k, reach), regex.compile(f"({phrase}){{e<={k}}}")
+            for _ in range(12):
+                s = list(phrase)
+                for _ in range(r.randint(0, k + 1)):
+                    j = r.randrange(len(s))
+                    s[j : j + r.randint(0, 1)] = r.choice(["", "x", "-", " "])
+                    s = s or ["x"]
+                text = "qq" + "".join(s) + "zz"
+                assert f.found(text, 0, len(text)) == (plain.search(text) is not None)
+                assert f.found(text, 4, len(text) - 4) == (plain.search(text, 4, len(text) - 4) is not None)
+
+
+def test_chain_parse(spark):
+    df = spark.createDataFrame([("MIR-1 and ABC2 Inhibits some growth",), ("no verb",), ("",), (None,)], "text string")
+    got = [r[0] for r in df.select(chain_parse(F.col("text"), ["inhibit"])).collect()]
+    p = Parse(got[0])
+    assert p.text == ["MIR-1", "and", "ABC2", "Inhibits", "some", "growth"] and [got[0][k]["idx"] for k in range(6)] == [0, 6, 10, 15, 24, 29]
+    assert p.pos == ["PROPN", "CCONJ", "PROPN", "VERB", "NOUN", "NOUN"] and p.dep == ["nsubj", "cc", "conj", "ROOT", "dobj", "dobj"] and p.head == [3, 3, 0, 3, 3, 3]
+    assert Parse(got[1]).dep == ["ROOT", "dobj"] and len(got[2]) == 1 and got[3] is None
+
+
+def test_texts_to_consensus(spark, monkeypatch):
+    from litweft.plans import text as plans
+
+    texts = ["MIR-7 inhibits QAB12 growth", "MIR-7 inhibits QAB12 again", "MIR-7 and QAB12 rise", "QAB12 only", "MIR-7 inhibits MIR-8"]
+    df = spark.createDataFrame([(i, f"{i}.2.0", t) for i, t in enumerate(texts)], "doc_id long, sent_id string, text string")
+    monkeypatch.setattr(plans, "sents", lambda *_: df)
+    full = {r.sent_id: r for r in plans.relations_full(spark, "").collect()}
+    assert {k: r.accepted for k, r in full.items()} == {"0.2.0": True, "1.2.0": True, "2.2.0": False} and full["2.2.0"].conj is False
+    assert rows(plans.relation_consensus(spark, "")) == [("MIR-7", "QAB12", "MIR_GENE;DOWN", 2, 2, 1)]
+
+
+def test_synonym_containers(spark):
+    one = lambda c: spark.range(1).select(c.alias("x")).first().x
+    null, abc = F.lit(None).cast("array<string>"), F.array(F.lit("a"), F.lit("B"))
+    assert one(synonyms.matches(abc, F.lit("b"))) and not one(synonyms.matches(abc, F.lit("c"))) and one(synonyms.matches(null, F.lit("a"))) is False
+    assert one(synonyms.merge(abc, F.array(F.lit("c"), F.lit("a")))) == ["a", "B", "c"] and one(synonyms.merge(null, null)) == []
+    assert one(synonyms.remove(abc, F.lit("a"))) == ["B"] and one(synonyms.remove(abc, F.lit("b"))) == ["a", "B"]
+    assert [one(synonyms.is_number(F.lit(x))) for x in ("1", "-.5e3", "1.", "1e", "", "a", None)] == [True, True, True, False, False, False, False]
