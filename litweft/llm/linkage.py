@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,9 +51,36 @@ def average_linkage(edges: Iterable[tuple[int, int, float]], threshold: float) -
     return {m: min(ms) for ms in members.values() for m in ms}
 
 
-def _local(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    found = average_linkage(zip(pdf["a"].tolist(), pdf["b"].tolist(), pdf["sim"].tolist()), threshold)
-    return pd.DataFrame({"id": list(found), "cluster": list(found.values())}, dtype="int64")
+def _by_component(threshold: float):
+    """Clusters of rows (component, a, b, sim) that come sorted by component; one component is held at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_, edges = None, []
+        ids: list[int] = []
+        names: list[int] = []
+
+        def settle() -> None:
+            found = average_linkage(edges, threshold)
+            ids.extend(found)
+            names.extend(found.values())
+            edges.clear()
+
+        for b in batches:
+            for c, *edge in zip(*(col.to_pylist() for col in b.columns)):
+                if c != open_ and edges:
+                    settle()
+                open_ = c
+                edges.append(tuple(edge))
+            if len(ids) > 50_000:
+                yield pa.RecordBatch.from_pydict({"id": pa.array(ids, pa.int64()), "cluster": pa.array(names, pa.int64())})
+                ids.clear()
+                names.clear()
+        if edges:
+            settle()
+        if ids:
+            yield pa.RecordBatch.from_pydict({"id": pa.array(ids, pa.int64()), "cluster": pa.array(names, pa.int64())})
+
+    return run
 
 
 def _rounds(edges: DataFrame, threshold: float, max_rounds: int = 200) -> DataFrame:
@@ -84,8 +111,8 @@ def _rounds(edges: DataFrame, threshold: float, max_rounds: int = 200) -> DataFr
 def cluster(edges: DataFrame, threshold: float, local_edges: int = LOCAL_EDGES) -> DataFrame:
     """``(id, cluster)`` of every id in ``edges`` (a, b longs, sim double; each pair once, a <> b).
 
-    Clusters never leave a connected component. Components of at most ``local_edges`` edges are grouped
-    and clustered in a task each; larger ones go through distributed rounds with the same result.
+    Clusters never leave a connected component. Components of at most ``local_edges`` edges are brought
+    together and clustered one after the other in tasks that hold many; larger ones go through distributed rounds with the same result.
     """
     edges = materialise(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sim"), "edges")
     comp = components(edges)
@@ -93,6 +120,6 @@ def cluster(edges: DataFrame, threshold: float, local_edges: int = LOCAL_EDGES)
     weight = placed.groupBy("component").agg(F.count("*").alias("_e"))
     placed = materialise(placed.join(weight, "component"), "edges")
     small = placed.where(F.col("_e") <= local_edges).select("component", "a", "b", "sim")
-    out = small.groupBy("component").applyInPandas(lambda pdf: _local(pdf, threshold), "id long, cluster long")
+    out = small.repartition("component").sortWithinPartitions("component", "a", "b").mapInArrow(_by_component(threshold), "id long, cluster long")
     large = placed.where(F.col("_e") > local_edges).select("a", "b", "sim")
     return out if large.isEmpty() else out.unionByName(_rounds(large, threshold))
