@@ -255,28 +255,29 @@ def _first_letters() -> Column:
     return F.array_distinct(F.filter(letters, lambda x: x.isNotNull() & (x != "")))
 
 
-def _meet(left: DataFrame, right: DataFrame, words: DataFrame) -> DataFrame:
-    """Forms under one key ``k`` whose given parts can agree: named forms by their name or a near one, forms with
-    initials only by the first letter, organisations by their kind words. Columns end in _a and _b; f_a <> f_b.
+def _meeting_points() -> tuple[Column, Column]:
+    """Where forms of one last name meet, as the first and as the second of a pair: named forms at their name, at a near
+    word of the given name and with initials at the letter, forms with initials only at their letter, organisations at
+    their kind words.
 
-    Forms of one key with different given names never meet, so a last name that many persons share gives
+    Forms of one key with different given names have no point in common, so a last name that many persons share gives
     no pairs between persons.
     """
-    letter = lambda df, s: df.withColumn("i1", F.explode(F.col(f"first_{s}")))
-    a, b = left.where("kind_a = 'p'"), right.where("kind_b = 'p'")
-    named_a, named_b, dots_a, dots_b = a.where("name_a is not null"), b.where("name_b is not null"), a.where("name_a is null"), b.where("name_b is null")
-    cols = [*left.columns, *(c for c in right.columns if c != "k")]
-    parts = [
-        named_a.join(named_b.withColumn("_n", F.col("name_b")), (named_a["name_a"] == F.col("_n")) & (named_a["k"] == named_b["k"])).drop(named_b["k"]),
-        named_a.where("key_a = k").join(words, "said_a").join(named_b.where("key_b = k").withColumnRenamed("said_b", "_s").withColumnRenamed("k", "_k"), (F.col("k") == F.col("_k")) & (F.col("said_b") == F.col("_s"))),
-        letter(dots_a, "a").join(letter(b, "b"), ["k", "i1"]),
-        letter(named_a, "a").join(letter(dots_b, "b"), ["k", "i1"]),
-        left.where("kind_a = 'o'").withColumn("_t", F.col("types_a")).join(right.where("kind_b = 'o'").withColumn("_t", F.col("types_b")), ["k", "_t"]),
-    ]
-    out = parts[0].select(*cols)
-    for p in parts[1:]:
-        out = out.unionByName(p.select(*cols))
-    return out.where("f_a <> f_b")
+    at = lambda tag, xs: F.transform(xs, lambda x: F.concat(F.lit(tag), x))
+    org, named = F.col("kind") == "o", F.col("name").isNotNull()
+    types, name, near = at("o:", F.array("types")), at("n:", F.array("name")), at("w:", F.coalesce("_near", F.array().cast("array<string>")))
+    letters = F.col("first")
+    one = F.when(org, types).when(named, F.concat(name, near, at("e:", letters))).otherwise(at("d:", letters))
+    other = F.when(org, types).when(named, F.concat(name, at("w:", F.array("said")), at("d:", letters))).otherwise(F.concat(at("d:", letters), at("e:", letters)))
+    return one, other
+
+
+def _meet(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs of forms under one key ``k`` with a meeting point in common; a near given name counts where the last names
+    are equal. Columns end in _a and _b; f_a <> f_b."""
+    a, b = left.withColumn("_m", F.explode("one_a")).drop("one_a", "other_a"), right.withColumn("_m", F.explode("other_b")).drop("one_b", "other_b")
+    near = F.startswith("_m", F.lit("w:"))
+    return a.join(b, ["k", "_m"]).where((F.col("f_a") != F.col("f_b")) & (F.col("kind_a") == F.col("kind_b")) & (~near | (F.col("key_a") == F.col("key_b")))).drop("_m")
 
 
 def link_names(names: DataFrame, short_names: DataFrame, row_id: str = "row_id", first: str = "firstname", last: str = "lastname", threshold: float = 0.4) -> DataFrame:
@@ -312,17 +313,20 @@ def link_names(names: DataFrame, short_names: DataFrame, row_id: str = "row_id",
     named = named.withColumn("form", F.sha2(F.to_json(F.struct(*_SHAPE)), 256))
     spelled = materialise(named.select("id", "rows", "form", *_SHAPE), "spelled")
     merged = spelled.groupBy("form").agg(F.min("id").alias("f"), F.sum("rows").alias("rows"), *(F.first(c).alias(c) for c in _SHAPE))
-    forms = materialise(merged.withColumn("first", _first_letters()), "forms")
+    near = words.groupBy(F.col("said_a").alias("said")).agg(F.collect_set("said_b").alias("_near"))
+    one, other = _meeting_points()
+    forms = merged.withColumn("first", _first_letters()).join(near, "said", "left").withColumn("one", one).withColumn("other", other)
+    forms = materialise(forms.drop("_near"), "forms")
     close = _close_keys(forms.select("key").distinct())
 
     def side(df: DataFrame, s: str, *more: str) -> DataFrame:
-        return df.select(*(F.col(c).alias(f"{c}_{s}") for c in ("f", "rows", "first", *_SHAPE, *more)), "k")
+        return df.select(*(F.col(c).alias(f"{c}_{s}") for c in ("f", "rows", "first", "one", "other", *_SHAPE, *more)), "k")
 
     agree = _given_agreement()
 
     # 4: better attested names near by, among compatible forms
     a = side(forms.withColumnRenamed("key", "key_a").join(close, "key_a").withColumnsRenamed({"key_a": "key", "key_b": "k"}), "a", "near")
-    fit = _meet(a, side(forms.withColumn("k", F.col("key")), "b"), words).where(agree > 0).where("kind_a = kind_b")
+    fit = _meet(a, side(forms.withColumn("k", F.col("key")), "b")).where(agree > 0)
     sizes = (F.greatest("rows_a", "rows_b") >= 10 * F.least("rows_a", "rows_b")) & (F.col("name_a") == F.col("name_b"))
     fit = materialise(fit.where((F.least(F.length("key_a"), F.length("key_b")) >= SHORT) | sizes), "fit")
     support = forms.select("kind", "key", "rows", F.explode(F.when(F.col("kind") == "o", F.array(F.lit(""))).otherwise(F.col("first"))).alias("i1"))
@@ -337,7 +341,7 @@ def link_names(names: DataFrame, short_names: DataFrame, row_id: str = "row_id",
     keyed = materialise(keyed.withColumn("k", F.col("_k.k")).withColumn("near", F.col("_k.near")).drop("_k", "also"), "keyed")
     # a misspelt last name has a right one behind it: compare given names as if the last names were equal
     last_names = F.when(F.col("key_a") == F.col("key_b"), 1.0).otherwise(F.col("near_a") * F.col("near_b"))
-    pair = _meet(side(keyed, "a", "near"), side(keyed, "b", "near"), words).withColumn("sim", agree * last_names)
+    pair = _meet(side(keyed, "a", "near"), side(keyed, "b", "near")).where("f_a < f_b").withColumn("sim", agree * last_names)
     pair = pair.drop("k").unionByName(fit.drop("k").withColumn("near_b", F.lit(1.0)).withColumn("sim", agree * F.col("near_a"))).where("sim is not null and f_a < f_b")
     kept = [F.first(c).alias(c) for c in ("name_a", "name_b", "rows_a", "rows_b", "kind_a")]
     pair = materialise(pair.groupBy("f_a", "f_b").agg(F.when(F.min("sim") < 0, F.min("sim")).otherwise(F.max("sim")).alias("sim"), *kept), "pairs")
