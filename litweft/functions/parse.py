@@ -24,6 +24,8 @@ class Parse:
         self.idx = [t["idx"] for t in rows]
         self.pos = [t["pos"] for t in rows]
         self.dep = [t["dep"] for t in rows]
+        #: What was worked out once for this sentence, whatever the pair.
+        self.cache: dict = {}
         n = len(rows)
         self.head = [t["head"] if 0 <= t["head"] < n else k for k, t in enumerate(rows)]
 
@@ -33,6 +35,11 @@ class Parse:
     def cut(self, start: int, end: int) -> Parse:
         """The parse of the characters from ``start`` to ``end``: tokens inside, moved by ``start``; a token whose head
         lies outside becomes a root."""
+        if (start, end) not in self.cache:
+            self.cache[start, end] = self._cut(start, end)
+        return self.cache[start, end]
+
+    def _cut(self, start: int, end: int) -> Parse:
         inside = [k for k in range(len(self)) if start <= self.idx[k] and self.idx[k] + len(self.text[k]) <= end]
         at = {k: i for i, k in enumerate(inside)}
         return Parse({"i": at[k], "idx": self.idx[k] - start, "text": self.text[k], "pos": self.pos[k], "dep": self.dep[k], "head": at.get(self.head[k], at[k])} for k in inside)

@@ -457,7 +457,9 @@ def coordination_groups(p: Parse, label: str = "conj") -> list[list[int]]:
 
 def coordination_ok(p: Parse, mir: int, gene: int, label: str = "conj") -> bool:
     """False if both entities are merely listed together, or the gene is listed as a pathway."""
-    for g in coordination_groups(p, label):
+    if label not in p.cache:
+        p.cache[label] = coordination_groups(p, label)
+    for g in p.cache[label]:
         if mir in g and gene in g:
             inside = range(min(mir, gene), max(mir, gene))
             if any(p.text[k] in ("target", "targets") and ((k + 1 < len(p) and p.text[k + 1] == "of") or (k and p.text[k - 1] == "its")) for k in inside):
@@ -772,7 +774,11 @@ def _judged(decide: Classifier, p: Parse, text: str, mir: tuple[int, int], gene:
     m, g = p.token_at(*mir), p.token_at(*gene)
     if m is None or g is None:
         return None
-    ok = {"conj": coordination_ok(p, m, g), "compartment": common_compartment(p, m, g) is not None, "context": context_ok(text, mir, gene)}
+    for check, span in ((mirna_context_ok, mir), (gene_context_ok, gene)):
+        if (check, span) not in p.cache:  # a mention is looked at once, not once per pair
+            p.cache[check, span] = check(text, *span)
+    context = mir[0] != gene[0] and p.cache[gene_context_ok, gene] and p.cache[mirna_context_ok, mir]
+    ok = {"conj": coordination_ok(p, m, g), "compartment": common_compartment(p, m, g) is not None, "context": context}
     ok["sdp"], passive, negated = path_check(p, m, g)
     ok["entity"] = None if entities is None else not _vetoed(entities, p.idx[g], p.idx[g] + len(p.text[g]))
     v = decide(p, m, g)
