@@ -11,7 +11,7 @@ from litweft.operators import matcher, ontology
 from litweft.plans.project import ONTOLOGY_SQL, SENTENCES_SQL, SPANS_SQL, sentences, spans
 from litweft.plans.project import ontology as tree
 from litweft.plans.text import _EXACT, lexicon
-from litweft.session import table, temporary_root
+from litweft.session import spread, table, temporary_root
 from litweft.sources import obo, pubmed, sinks, tables
 
 
@@ -77,7 +77,7 @@ def hit_files(spark: SparkSession, sf: str) -> DataFrame:
 
 def context_literals(spark: SparkSession, sf: str) -> DataFrame:
     """Evidence lists written as literals and parsed again, one row per evidence."""
-    a = table(spark, sf, "mx_annot").where("sent_evidences <> ''")
+    a = spread(table(spark, sf, "mx_annot").select("row_id", "sent_evidences")).where("sent_evidences <> ''")
     one = F.transform(F.split("sent_evidences", "\\|"), lambda e: F.concat(F.lit("('"), F.split(e, ",")[0], F.lit("', "), F.split(e, ",")[1], F.lit(", "), F.split(e, ",")[2], F.lit(", \"it's\")")))
     lit = a.select("row_id", F.concat(F.lit("["), F.array_join(one, ", "), F.lit("]")).alias("ev"))
     read = tables.literal_column(lit, "ev", "array<struct<sent:string,start:int,end:int,syn:string>>")
@@ -87,7 +87,7 @@ def context_literals(spark: SparkSession, sf: str) -> DataFrame:
 def pubmed_files(spark: SparkSession, sf: str) -> DataFrame:
     """Article XML of the documents, scanned and taken apart."""
     plain = F.trim(F.regexp_replace("text", _PLAIN, " "))
-    d = table(spark, sf, "documents").select("doc_id", plain.alias("t"), F.coalesce("journal", F.lit("")).alias("j"), F.coalesce("source", F.lit("nobody")).alias("s"), F.to_date("loaded_at").alias("day")).where("t <> ''")
+    d = spread(table(spark, sf, "documents")).select("doc_id", plain.alias("t"), F.coalesce("journal", F.lit("")).alias("j"), F.coalesce("source", F.lit("nobody")).alias("s"), F.to_date("loaded_at").alias("day")).where("t <> ''")
     tag = lambda n, c, a="": F.concat(F.lit(f"<{n}{a}>"), c, F.lit(f"</{n}>"))
     when = F.concat(tag("Year", F.year("day").cast("string")), tag("Month", F.month("day").cast("string")), tag("Day", F.day("day").cast("string")))
     art = F.concat(
@@ -158,8 +158,8 @@ def corpus_xml(spark: SparkSession, sf: str) -> DataFrame:
     at = F.length("p_brand") + 6
     sent = F.concat(F.lit("<sentence id='s' text='"), "p_brand", F.lit(" hits "), "p_type", F.lit("'>"), ent("e1", F.col("p_brand"), "m", F.lit(0)), ent("e2", F.col("p_type"), "g", at), F.lit("<pair id='p' e1='e1' e2='e2' interaction='"), F.when(F.col("p_size") > 25, "True").otherwise("False"), F.lit("'/></sentence>"))
     doc = F.concat(F.lit("<document origId='"), "p_partkey", F.lit("'>"), sent, F.lit("</document>"))
-    # a file is one corpus of some fifty documents
-    corpus = p.groupBy(F.floor(F.col("p_partkey") / 50).alias("part")).agg(F.concat(F.lit("<corpus>"), F.array_join(F.collect_list(doc), ""), F.lit("</corpus>")).alias("value"))
+    # a file is one corpus of some thousand documents
+    corpus = p.groupBy(F.floor(F.col("p_partkey") / 1000).alias("part")).agg(F.concat(F.lit("<corpus>"), F.array_join(F.collect_list(doc), ""), F.lit("</corpus>")).alias("value"))
     path = _folder(spark)
     corpus.write.partitionBy("part").text(path)
     c = tables.corpus_pairs(spark, path)
