@@ -6,10 +6,11 @@ on how it was made.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from functools import cached_property
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TOKEN = "array<struct<i:int,idx:int,text:string,pos:string,dep:string,head:int>>"
@@ -110,26 +111,27 @@ class Parse:
         return hit[-1] if hit else None
 
 
-def chain_parse(text: Column, verbs: Sequence[str]) -> Column:
-    """A plain parse (TOKEN) of ``text`` by rule, for collections that come without one; JVM-side.
+def chain_parse(df: DataFrame, verbs: Sequence[str], text: str = "text", column: str = "tokens") -> DataFrame:
+    """Adds a plain parse (TOKEN) of ``text`` by rule, for collections that come without one; JVM-side.
 
     Tokens are the parts between single blanks. A token that begins like one of ``verbs`` is a verb, one with a digit
     a proper noun, 'and' and 'or' are conjunctions, the others nouns. The first verb is the root (the first token where
     there is none); all hang on it, as subjects before it and objects after it, but for the token after a conjunction,
     which is listed with the one before it. It knows no clauses: real parses give better relations.
     """
-    words = F.split(text, " ")
-    low = F.transform(words, F.lower)
-    is_verb = lambda w: F.exists(F.array(*map(F.lit, verbs)), lambda v: F.startswith(w, v))
-    joins = lambda w: w.isin("and", "or")
-    root = F.coalesce(F.nullif(F.array_position(F.transform(low, is_verb), True), F.lit(0)), F.lit(1)).cast("int") - 1
-    starts = F.aggregate(words, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("xs")), lambda a, w: F.struct((a["at"] + F.length(w) + 1).alias("at"), F.concat(a["xs"], F.array(a["at"])).alias("xs")))["xs"]
+    starts_with = "^(" + "|".join(re.escape(v) for v in verbs) + ")"
+    blank = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("xs"))
+    step = lambda a, w: F.struct((a["at"] + F.length(w) + 1).alias("at"), F.concat(a["xs"], F.array(a["at"])).alias("xs"))
+    # each list is worked out once for a text, not once for a token
+    df = df.withColumn("_words", F.split(text, " ")).withColumn("_starts", F.aggregate("_words", blank, step)["xs"])
+    df = df.withColumn("_kinds", F.transform("_words", lambda w: F.when(F.lower(w).rlike(starts_with), "VERB").when(F.lower(w).isin("and", "or"), "CCONJ").when(w.rlike("[0-9]"), "PROPN").otherwise("NOUN")))
+    df = df.withColumn("_root", F.greatest(F.array_position("_kinds", "VERB").cast("int"), F.lit(1)) - 1)
 
     def token(w: Column, i: Column) -> Column:
-        listed = (i > 1) & F.coalesce(joins(F.get(low, i - 1)), F.lit(False))
-        pos = F.when(is_verb(F.get(low, i)), "VERB").when(joins(F.get(low, i)), "CCONJ").when(w.rlike("[0-9]"), "PROPN").otherwise("NOUN")
-        dep = F.when(i == root, "ROOT").when(listed, "conj").when(joins(F.get(low, i)), "cc").when(i < root, "nsubj").otherwise("dobj")
+        kind, root = F.get("_kinds", i), F.col("_root")
+        listed = (i > 1) & F.coalesce(F.get("_kinds", i - 1) == "CCONJ", F.lit(False))
+        dep = F.when(i == root, "ROOT").when(listed, "conj").when(kind == "CCONJ", "cc").when(i < root, "nsubj").otherwise("dobj")
         head = F.when(listed & (i != root), i - 2).otherwise(root)
-        return F.struct(i.alias("i"), F.get(starts, i).alias("idx"), w.alias("text"), pos.alias("pos"), dep.alias("dep"), head.alias("head"))
+        return F.struct(i.alias("i"), F.get("_starts", i).alias("idx"), w.alias("text"), kind.alias("pos"), dep.alias("dep"), head.alias("head"))
 
-    return F.transform(words, token)
+    return df.withColumn(column, F.transform("_words", token)).drop("_words", "_starts", "_kinds", "_root")

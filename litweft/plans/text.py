@@ -166,7 +166,7 @@ def context_reject_fuzzy(spark: SparkSession, sf: str) -> DataFrame:
 def _judged(spark: SparkSession, sf: str) -> DataFrame:
     """Every pair of mentions of the usable sentences, judged by all checks and classified, over the plain parse."""
     s = materialise(sents(spark, sf).where(tx.usable_sentence(F.col("text"), 500)).select("doc_id", "sent_id", "text"), "sentences")
-    parsed = s.select("doc_id", "sent_id", "text", parse.chain_parse(F.col("text"), [stem for _, stem in STEMS]).alias("tokens"))
+    parsed = parse.chain_parse(s, [stem for _, stem in STEMS])
     # the rules run in Python and cost far more than the rows weigh: all cores, a sentence's pairs in one place
     pairs = relations.mentions(s).join(parsed, "sent_id").repartition(exchange_partitions(spark), "sent_id")
     return relations.relations(pairs, STEMS, keep=("doc_id", "sent_id", "mir", "gene", "start_a", "end_a", "start_b", "end_b"))

@@ -289,7 +289,7 @@ def test_pieces_never_hide_a_fuzzy_phrase():
 
 def test_chain_parse(spark):
     df = spark.createDataFrame([("MIR-1 and ABC2 Inhibits some growth",), ("no verb",), ("",), (None,)], "text string")
-    got = [r[0] for r in df.select(chain_parse(F.col("text"), ["inhibit"])).collect()]
+    got = [r[0] for r in chain_parse(df, ["inhibit"]).select("tokens").collect()]
     p = Parse(got[0])
     assert p.text == ["MIR-1", "and", "ABC2", "Inhibits", "some", "growth"] and [got[0][k]["idx"] for k in range(6)] == [0, 6, 10, 15, 24, 29]
     assert p.pos == ["PROPN", "CCONJ", "PROPN", "VERB", "NOUN", "NOUN"] and p.dep == ["nsubj", "cc", "conj", "ROOT", "dobj", "dobj"] and p.head == [3, 3, 0, 3, 3, 3]
