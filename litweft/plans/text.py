@@ -86,7 +86,7 @@ def cooccurrence(spark: SparkSession, sf: str) -> DataFrame:
 
 def tagged_pairs(spark: SparkSession, sf: str) -> DataFrame:
     h = materialise(_hits(spark, sf, only_longest=False).where("exact"), "hits")
-    p = cooccur.distinct_pairs(cooccur.pairs(h.where("syn = 'expression'"), h.where("syn = 'cells'"), sents(spark, sf)))
+    p = cooccur.distinct_pairs(cooccur.pairs(h.where("dict_id = 1"), h.where("dict_id = 2"), sents(spark, sf)))
     return p.select("sent_id", tx.tag_pair(F.col("text"), F.col("start_a"), F.col("end_a"), F.col("start_b"), F.col("end_b")).alias("tagged"))
 
 
@@ -291,11 +291,13 @@ SELECT row_id, syn FROM d WHERE syn NOT IN (SELECT syn FROM c)""",
 SELECT a.sent_id, a.syn AS syn_a, b.syn AS syn_b, a.start AS start_a, b.start AS start_b FROM h a JOIN h b USING (sent_id) JOIN sent USING (sent_id)
 WHERE sent_id IN (SELECT sent_id FROM ok) AND a.dict_id = 1 AND b.dict_id = 2 AND a.syn <> b.syn AND NOT (a.start <= b."end" AND b.start <= a."end")
   AND length(text) <= 300 AND NOT (starts_with(text, 'Table ') OR starts_with(text, 'Figure ') OR starts_with(text, 'Tab. ') OR starts_with(text, 'Fig. '))""",
-    "tagged_pairs": _EXACT + """, p AS (SELECT a.sent_id, text, a.start AS sa, a."end" AS ea, b.start AS sb, b."end" AS eb, row_number() OVER (PARTITION BY a.sent_id ORDER BY a.start, b.start) AS r
- FROM (SELECT DISTINCT * FROM hit WHERE syn = 'expression') a JOIN (SELECT DISTINCT * FROM hit WHERE syn = 'cells') b USING (sent_id) JOIN sent USING (sent_id)
- WHERE NOT (a.start <= b."end" AND b.start <= a."end") AND length(text) <= 500 AND NOT (starts_with(text, 'Table ') OR starts_with(text, 'Figure ') OR starts_with(text, 'Tab. ') OR starts_with(text, 'Fig. ')))
-SELECT sent_id, CASE WHEN ea <= sb THEN substr(text, 1, sa) || '<e1>expression</e1>' || substr(text, ea + 1, sb - ea) || '<e2>cells</e2>' || substr(text, eb + 1)
-  ELSE substr(text, 1, sb) || '<e2>cells</e2>' || substr(text, eb + 1, sa - eb) || '<e1>expression</e1>' || substr(text, ea + 1) END AS tagged FROM p WHERE r = 1""",
+    "tagged_pairs": _EXACT + """, p AS (SELECT a.sent_id, text, a.syn AS x, b.syn AS y, a.start AS sa, a."end" AS ea, b.start AS sb, b."end" AS eb,
+  row_number() OVER (PARTITION BY a.sent_id, a.syn, b.syn ORDER BY a.start, b.start, a."end", b."end") AS r
+ FROM (SELECT DISTINCT * FROM hit WHERE dict_id = 1) a JOIN (SELECT DISTINCT * FROM hit WHERE dict_id = 2) b USING (sent_id) JOIN sent USING (sent_id)
+ WHERE a.syn <> b.syn AND NOT (a.start <= b."end" AND b.start <= a."end") AND length(text) <= 500
+  AND NOT (starts_with(text, 'Table ') OR starts_with(text, 'Figure ') OR starts_with(text, 'Tab. ') OR starts_with(text, 'Fig. ')))
+SELECT sent_id, CASE WHEN ea <= sb THEN substr(text, 1, sa) || '<e1>' || x || '</e1>' || substr(text, ea + 1, sb - ea) || '<e2>' || y || '</e2>' || substr(text, eb + 1)
+  ELSE substr(text, 1, sb) || '<e2>' || y || '</e2>' || substr(text, eb + 1, sa - eb) || '<e1>' || x || '</e1>' || substr(text, ea + 1) END AS tagged FROM p WHERE r = 1""",
     "sentence_fragments": f"""WITH {SENTENCES_SQL},
 m AS (SELECT sent_id, text, list_filter(generate_series(1, length(text)), lambda i: substr(text, i, 2) IN (': ', '; ') AND regexp_matches(substr(text, i + 2, 1), '[A-Za-z0-9]')
   AND NOT (contains(substr(text, greatest(i - 10, 1), least(i + 12, length(text)) - greatest(i - 10, 1) + 1), '(') AND contains(substr(text, greatest(i - 10, 1), least(i + 12, length(text)) - greatest(i - 10, 1) + 1), ')'))) AS c FROM sent),
