@@ -95,12 +95,16 @@ def _walk(seeds: DataFrame, edges: list[tuple], max_depth: int | None, include_s
 
 
 def closure_sql(spark, seeds: DataFrame, edges: DataFrame, max_depth: int) -> DataFrame:
-    """The bounded closure downwards as one recursive query, for trees and small depths."""
+    """The bounded closure downwards as one recursive query, for trees and small depths.
+
+    The query lifts the session's limits on recursion (a million rows, a hundred levels) for itself, as ``max_depth``
+    ends it. Every level holds a pair once, however many paths lead to it.
+    """
     query = f"""
-      WITH RECURSIVE c (seed, node, level) AS (
-        SELECT node, node, CAST(0 AS BIGINT) FROM {{seeds}}
-        UNION ALL SELECT c.seed, e.child, c.level + 1 FROM c JOIN {{edges}} e ON e.parent = c.node WHERE c.level < {int(max_depth)})
-      SELECT seed, node, min(level) AS level FROM c WHERE level > 0 GROUP BY seed, node"""
+      WITH RECURSIVE c (seed, node, level) MAX RECURSION LEVEL {int(max_depth) + 1} AS (
+        SELECT DISTINCT node, node, CAST(0 AS BIGINT) FROM {{seeds}}
+        UNION ALL SELECT DISTINCT c.seed, e.child, c.level + 1 FROM c JOIN {{edges}} e ON e.parent = c.node WHERE c.level < {int(max_depth)})
+      SELECT seed, node, min(level) AS level FROM (SELECT * FROM c LIMIT ALL) WHERE level > 0 GROUP BY seed, node"""
     return spark.sql(query, seeds=seeds.select("node"), edges=edges.select("child", "parent"))
 
 

@@ -212,6 +212,24 @@ def test_closure_is_the_same_both_ways(spark, monkeypatch):
     assert rows(ontology.closure(words.select(words.parent.alias("node")), words)) == [("a", "b", 1), ("a", "c", 2), ("b", "c", 1)]
 
 
+def test_recursive_closure_is_whole_beyond_the_sessions_limits(spark):
+    tree = spark.createDataFrame([(k, k // 2) for k in range(2, 200)], "child int, parent int")
+    diamonds = spark.createDataFrame([(k + s, k) for k in range(0, 40, 3) for s in (1, 2)] + [(k + 3, k + s) for k in range(0, 40, 3) for s in (1, 2)], "child int, parent int")
+    limits = {"spark.sql.cteRecursionRowLimit": "20", "spark.sql.cteRecursionLevelLimit": "3"}
+    kept = {k: spark.conf.get(k) for k in limits}
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        for edges, depth in ((tree, 5), (tree, 1), (diamonds, 7)):
+            seeds = edges.select(edges.parent.alias("node"))
+            assert rows(ontology.closure_sql(spark, seeds, edges, depth)) == rows(ontology.closure(seeds, edges, depth))
+        assert ontology.closure_sql(spark, tree.select(tree.parent.alias("node")), tree, 0).count() == 0
+        assert {k: spark.conf.get(k) for k in limits} == limits
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
 def test_roots_of_deep_graphs_and_circles(spark):
     chain = [(k + 1, k) for k in range(70)]
     edges = spark.createDataFrame([*chain, (200, 201), (201, 200), (202, 200), (50, 300), (None, 5)], "child int, parent int")
