@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 from itertools import combinations
+from types import SimpleNamespace
+from unittest.mock import MagicMock
 
 import pytest
 from conftest import rows
@@ -46,6 +48,23 @@ def test_public_table_of_confusable_letters(spark):
     assert all(t(f) == f for f in map(t, alike)) and all(a.isupper() == f.isupper() or a.lower() == a.upper() for a, f in alike.items())
 
 
+def test_a_missing_table_of_confusable_letters_is_an_error(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "gene"), (2, "\u0261ene"), (3, "other")], "doc_id long, text string")
+    monkeypatch.setattr(look, "_ALIKE", {})
+    read = look._confusable_letters
+    with monkeypatch.context() as m:
+        m.setattr(look, "_confusable_letters", lambda _: read(SimpleNamespace(_jvm=SimpleNamespace())))  # no ICU library
+        for query in (look.canonical, look.equal_looking, look.look_classes):
+            with pytest.raises(RuntimeError, match="ICU"):
+                query(df)
+    for skeleton in (lambda text: text.replace("\n", "", 1), OSError("lost")):  # one line short, and a failure underway
+        jvm = MagicMock()
+        jvm.com.ibm.icu.text.SpoofChecker.Builder.return_value.build.return_value.getSkeleton.side_effect = skeleton
+        with pytest.raises((ValueError, OSError)):
+            read(SimpleNamespace(_jvm=jvm))
+    assert rows(look.equal_looking(df)) == [(1, 2)]  # a failure is not remembered
+
+
 def test_classes_say_what_the_pairs_say(spark):
     texts = ["abc", "abc", "аbc", "ａｂｃ", "abC", None, "", "x" * 50_000, "x" * 49_999 + "х", "solo", "ab\u200bc"]
     df = spark.createDataFrame([(i, t, "c", 1) for i, t in enumerate(texts)], "doc_id long, text string, class_id string, n_links int")
